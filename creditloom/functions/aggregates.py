@@ -1,8 +1,8 @@
 """Aggregates by name.
 
 Feature specs name their aggregates as text ("mean", "nunique", "median_lower" ...). The registry
-says for each name which suffix the output column gets, how the aggregate is built, and how it has
-to be executed at scale:
+says for each name which suffix the output column gets, the Spark SQL that computes it, and how it
+has to be executed at scale:
 
 ``fused``     constant-size state, merged before the shuffle: joins the one wide aggregation.
 ``distinct``  needs the distinct values of a column: counted in two narrow grouping steps.
@@ -11,7 +11,6 @@ to be executed at scale:
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -23,8 +22,8 @@ from creditloom.functions.scalar import ColumnLike, named, safe_ratio
 @dataclass(frozen=True)
 class Aggregate:
     suffix: str
-    #: column builder; None where only an operator can compute it
-    build: Callable[[Column], Column] | None
+    #: SQL with ``{}`` for the aggregated value; empty where only an operator can compute it
+    sql: str = ""
     execution: str = "fused"
     #: result for a group that exists but has no usable value (NULL unless stated)
     empty: int | float | None = None
@@ -45,37 +44,20 @@ def lookup(name: str) -> Aggregate:
         raise KeyError(f"unknown aggregate {name!r}; known: {sorted(REGISTRY)}") from None
 
 
-register("mean", Aggregate("MEAN", F.avg))
-register("min", Aggregate("MIN", F.min))
-register("max", Aggregate("MAX", F.max))
-register("sum", Aggregate("SUM", F.sum))
-register("size", Aggregate("SIZE", F.count, empty=0))
-register("var", Aggregate("VAR", F.var_samp))
-register("std", Aggregate("STD", F.stddev_samp))
-register("max_or_zero", Aggregate("MAX", F.max, empty=0.0))
-register("nunique", Aggregate("NUNIQUE", F.count_distinct, execution="distinct", empty=0))
-register("median", Aggregate("MEDIAN", F.median, execution="ranked"))
-register("median_lower", Aggregate("MEDIAN", None, execution="ranked", empty=0.0))
-register("top3", Aggregate("TOP3", None, execution="ranked", empty=0.0))
+register("mean", Aggregate("MEAN", "avg({})"))
+register("min", Aggregate("MIN", "min({})"))
+register("max", Aggregate("MAX", "max({})"))
+register("sum", Aggregate("SUM", "sum({})"))
+register("size", Aggregate("SIZE", "count({})", empty=0))
+register("var", Aggregate("VAR", "var_samp({})"))
+register("std", Aggregate("STD", "stddev_samp({})"))
+register("max_or_zero", Aggregate("MAX", "CAST(max({}) AS DOUBLE)", empty=0.0))
+register("nunique", Aggregate("NUNIQUE", execution="distinct", empty=0))
+register("median", Aggregate("MEDIAN", execution="ranked"))
+register("median_lower", Aggregate("MEDIAN", execution="ranked", empty=0.0))
+register("top3", Aggregate("TOP3", execution="ranked", empty=0.0))
 
 
 def ratio_of_sums(numerator: ColumnLike, divisor: ColumnLike) -> Column:
     """sum(numerator) / sum(divisor), NULL when the divisor adds up to zero."""
     return safe_ratio(F.sum(named(numerator)), F.sum(named(divisor)))
-
-
-def latest_value(value: ColumnLike, order: list[ColumnLike]) -> Column:
-    """The value on the row that comes last in ``order``, even when that value is NULL.
-
-    ``order`` should end in columns that make it total; otherwise ties are settled arbitrarily.
-    """
-    return F.max_by(named(value), F.struct(*map(named, order)))
-
-
-def earliest_value(value: ColumnLike, order: list[ColumnLike]) -> Column:
-    return F.min_by(named(value), F.struct(*map(named, order)))
-
-
-def present_text(value: ColumnLike) -> Column:
-    """Text to count distinct values of: the empty string counts as missing."""
-    return F.nullif(named(value), F.lit(""))

@@ -5,16 +5,17 @@ A branch-and-join plan scans and shuffles the same table once per segment and ag
 size in a single ``groupBy`` whose inputs are masked by the segment predicates, and sends only the
 aggregates that cannot join it (distinct counts, medians, top values) through narrow passes of
 their own, joined on the key both sides are already partitioned by.
+
+Expressions are assembled as SQL text: a spec has hundreds of them, and one parsed text is far
+cheaper to hand to the JVM than a tree of single function calls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.aggregates import Aggregate, lookup
@@ -65,10 +66,23 @@ class Feature:
         return lookup(self.fn)
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """Categories whose one-hot flags a spec may average without materialising the flags."""
+
+    column: str
+    categories: tuple[str, ...]
+    null_as_zero: bool
+
+    def flags(self) -> dict[str, str]:
+        return {f"{self.column}_{category}": category for category in self.categories}
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
     keys: tuple[str, ...]
     segments: tuple[Segment, ...]
+    vocabularies: tuple[Vocabulary, ...] = ()
 
     def features(self) -> list[Feature]:
         return [
@@ -88,48 +102,78 @@ class FeatureSpec:
         return [*self.keys, *(f.name for f in self.features())]
 
 
-class _Masks:
-    """Segment predicates, evaluated once per row as boolean columns."""
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+class _Compiler:
+    """Turns the features of a spec into SQL over rows with one boolean column per predicate."""
 
     def __init__(self, spec: FeatureSpec) -> None:
         predicates = dict.fromkeys(s.rows for s in spec.segments if s.rows is not None)
-        self.flags = {text: f"__in{i}" for i, text in enumerate(predicates)}
-
-    def columns(self) -> dict[str, Column]:
-        return {
-            name: F.coalesce(F.expr(text), F.lit(False)) for text, name in self.flags.items()
+        self.flags = {predicate: f"__in{i}" for i, predicate in enumerate(predicates)}
+        self.categories = {
+            flag: (vocabulary, category)
+            for vocabulary in spec.vocabularies
+            for flag, category in vocabulary.flags().items()
         }
 
+    def flag_columns(self) -> list[str]:
+        return [f"coalesce({text}, false) AS {name}" for text, name in self.flags.items()]
+
     def flag(self, segment: Segment) -> str | None:
         return None if segment.rows is None else self.flags[segment.rows]
 
-    def mask(self, segment: Segment, column: Column) -> Column:
+    def masked(self, segment: Segment, value: str) -> str:
         flag = self.flag(segment)
-        return column if flag is None else F.when(F.col(flag), column)
+        return value if flag is None else f"CASE WHEN {flag} THEN {value} END"
 
-    def present(self, segment: Segment) -> Column | None:
+    def present(self, segment: Segment) -> str | None:
         """Whether the group has any row in the segment; None if it always has."""
         conditions = []
         if segment.rows is not None:
-            conditions.append(F.max(F.col(self.flags[segment.rows])))
+            conditions.append(f"max({self.flags[segment.rows]})")
         if segment.group is not None:
-            conditions.append(F.expr(segment.group))
-        return reduce(and_, conditions) if conditions else None
+            conditions.append(f"({segment.group})")
+        return " AND ".join(conditions) or None
+
+    def share(self, segment: Segment, flag: str) -> str:
+        """Mean of a one-hot flag, from two counts on the category column itself."""
+        vocabulary, category = self.categories[flag]
+        column = quoted(vocabulary.column)
+        hit = f"CASE WHEN {column} = {_text(category)} THEN 1 END"
+        every = "1" if vocabulary.null_as_zero else column
+        return (
+            f"try_divide(count({self.masked(segment, hit)}), "
+            f"count({self.masked(segment, every)}))"
+        )
 
+    def fused(self, feature: Feature) -> str:
+        segment = feature.segment
+        if feature.fn == "mean" and feature.column in self.categories:
+            value = self.share(segment, feature.column)
+        else:
+            value = feature.aggregate.sql.format(self.masked(segment, quoted(feature.column)))
+        return self.settled(feature, value, self.present(segment))
 
-def _settle(feature: Feature, value: Column, present: Column | None) -> Column:
-    """Value of an empty group, and NULL for a group without any row in the segment."""
-    empty = feature.aggregate.empty
-    if empty is not None:
-        value = F.coalesce(value, F.lit(empty))
-    needs_presence = empty is not None or feature.segment.group is not None
-    if present is not None and needs_presence:
-        value = F.when(present, value)
-    return value
+    @staticmethod
+    def settled(feature: Feature, value: str, present: str | None) -> str:
+        """Value of an empty group, and NULL for a group without any row in the segment."""
+        empty = feature.aggregate.empty
+        if empty is not None:
+            value = f"coalesce({value}, {empty}{'D' if isinstance(empty, float) else ''})"
+        needs_presence = empty is not None or feature.segment.group is not None
+        if present is not None and needs_presence:
+            value = f"CASE WHEN {present} THEN {value} END"
+        return value
 
 
 def _distinct_counts(
-    base: DataFrame, spec: FeatureSpec, masks: _Masks, features: Sequence[Feature]
+    base: DataFrame, spec: FeatureSpec, compiler: _Compiler, features: Sequence[Feature]
 ) -> list[DataFrame]:
     """Distinct counts in two steps per column: (key, value) pairs, then pairs per key.
 
@@ -139,31 +183,27 @@ def _distinct_counts(
     tables = []
     for column in dict.fromkeys(f.column for f in features):
         wanted = [f for f in features if f.column == column]
-        flags = [x for x in dict.fromkeys(masks.flag(f.segment) for f in wanted) if x]
+        flags = [x for x in dict.fromkeys(compiler.flag(f.segment) for f in wanted) if x]
         value = named(column)
         if dict(base.dtypes)[column] == "string":
             value = F.nullif(value, F.lit(""))
         pairs = (
-            base.select(*map(named, spec.keys), value.alias("__v"), *flags)
-            .groupBy(*map(named, spec.keys), F.col("__v"))
-            .agg(*[F.max(x).alias(x) for x in flags], F.lit(1).alias("__one"))
+            base.select(*map(quoted, spec.keys), value.alias("__v"), *flags)
+            .groupBy(*map(quoted, spec.keys), "__v")
+            .agg(F.lit(1).alias("__one"), *[F.max(x).alias(x) for x in flags])
         )
-        tables.append(
-            pairs.groupBy(*map(named, spec.keys)).agg(
-                *(
-                    F.count(masks.mask(f.segment, F.col("__v"))).alias(f.name)
-                    for f in wanted
-                )
-            )
+        counts = (
+            f"count({compiler.masked(f.segment, '__v')}) AS {quoted(f.name)}" for f in wanted
         )
+        tables.append(pairs.groupBy(*map(quoted, spec.keys)).agg(*map(F.expr, counts)))
     return tables
 
 
 def _ranked(
-    base: DataFrame, spec: FeatureSpec, masks: _Masks, feature: Feature
+    base: DataFrame, spec: FeatureSpec, compiler: _Compiler, feature: Feature
 ) -> DataFrame:
-    flag = masks.flag(feature.segment)
-    rows = base if flag is None else base.where(F.col(flag))
+    flag = compiler.flag(feature.segment)
+    rows = base if flag is None else base.where(flag)
     if feature.fn == "top3":
         return top_k_mean(rows, spec.keys, feature.column, feature.name, 3)
     return group_median(
@@ -176,43 +216,42 @@ def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
     Rows with a NULL key are left out.
     """
-    masks = _Masks(spec)
+    compiler = _Compiler(spec)
     features = spec.features()
-    has_key = reduce(and_, (named(k).isNotNull() for k in spec.keys))
-    base = df.where(has_key).withColumns(masks.columns())
+    has_key = " AND ".join(f"{quoted(k)} IS NOT NULL" for k in spec.keys)
+    base = df.where(has_key).selectExpr("*", *compiler.flag_columns())
 
-    fused: dict[str, Column] = {}
-    settle_late = []
+    fused: dict[str, str] = {}
+    separate: dict[str, Feature] = {}
     for feature in features:
-        present = masks.present(feature.segment)
         if feature.aggregate.execution == "fused":
-            value = feature.aggregate.build(masks.mask(feature.segment, named(feature.column)))
-            fused[feature.name] = _settle(feature, value, present)
-        else:
-            settle_late.append(feature)
-            if present is not None:
-                fused[f"__present_{feature.segment.prefix}"] = present
+            fused[feature.name] = compiler.fused(feature)
+            continue
+        separate[feature.name] = feature
+        present = compiler.present(feature.segment)
+        if present is not None:
+            fused[f"__present_{feature.segment.prefix}"] = present
     # A spec of distinct or ranked features only still needs one row per key.
-    fused = fused or {"__rows": F.count(F.lit(1))}
-    result = base.groupBy(*map(named, spec.keys)).agg(
-        *(column.alias(name) for name, column in fused.items())
+    fused = fused or {"__rows": "count(1)"}
+    result = base.groupBy(*map(quoted, spec.keys)).agg(
+        *(F.expr(f"{text} AS {quoted(name)}") for name, text in fused.items())
     )
 
-    distinct = [f for f in settle_late if f.aggregate.execution == "distinct"]
-    ranked = [f for f in settle_late if f.aggregate.execution == "ranked"]
-    for table in _distinct_counts(base, spec, masks, distinct):
+    distinct = [f for f in separate.values() if f.aggregate.execution == "distinct"]
+    ranked = [f for f in separate.values() if f.aggregate.execution == "ranked"]
+    for table in _distinct_counts(base, spec, compiler, distinct):
         result = result.join(table, list(spec.keys), "left")
     for feature in ranked:
-        result = result.join(_ranked(base, spec, masks, feature), list(spec.keys), "left")
-
-    late = {f.name: f for f in settle_late}
-
-    def final(name: str) -> Column:
-        if name not in late:
-            return named(name)
-        feature = late[name]
+        result = result.join(_ranked(base, spec, compiler, feature), list(spec.keys), "left")
+    if not separate:
+        return result
+
+    def final(name: str) -> str:
+        if name not in separate:
+            return quoted(name)
+        feature = separate[name]
         marker = f"__present_{feature.segment.prefix}"
-        present = named(marker) if marker in fused else None
-        return _settle(feature, named(name), present).alias(name)
+        present = quoted(marker) if marker in fused else None
+        return f"{compiler.settled(feature, quoted(name), present)} AS {quoted(name)}"
 
-    return result.select(*map(final, spec.names()))
+    return result.selectExpr(*map(final, spec.names()))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalar import difference, named, one_hot, row_sum, safe_ratio
+from creditloom.functions.scalar import difference, one_hot, row_sum, safe_ratio
 from creditloom.functions.vocabulary import BUREAU, MONTHLY_STATUS
 from creditloom.operators.grouped import latest_value
 from creditloom.operators.relational import with_peer_means
-from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
+from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 
 PEER_COLUMNS = (
     "AMT_CREDIT_MAX_OVERDUE",
@@ -189,6 +189,7 @@ SPEC = FeatureSpec(
         _recent("BUREAU_LAST6M_", 180),
         _recent("BUREAU_LAST12M_", 360),
     ),
+    vocabularies=tuple(Vocabulary(c, v, null_as_zero=True) for c, v in BUREAU.items()),
 )
 
 LATEST = "BUREAU_LAST_LOAN_MAX_OVERDUE"
@@ -258,5 +259,5 @@ def features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
     return (
         wide.join(latest, "SK_ID_CURR", "left")
         .withColumns(ratios)
-        .select(*map(named, COLUMNS))
+        .select(*map(quoted, COLUMNS))
     )

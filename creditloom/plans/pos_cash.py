@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalar import indicator, named, one_hot, safe_ratio, truthy
+from creditloom.functions.scalar import indicator, one_hot, safe_ratio, truthy
 from creditloom.functions.vocabulary import POS_CONTRACT_STATUS
 from creditloom.operators.grouped import top_k_mean
-from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
+from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 
 SPEC = FeatureSpec(
     keys=("SK_ID_CURR",),
@@ -37,6 +37,7 @@ SPEC = FeatureSpec(
             ),
         ),
     ),
+    vocabularies=(Vocabulary("NAME_CONTRACT_STATUS", POS_CONTRACT_STATUS, null_as_zero=False),),
 )
 #: Sums over the loans of a client.
 LOAN_SUMS = (
@@ -55,7 +56,7 @@ def row_features(balance: DataFrame) -> DataFrame:
             **one_hot("NAME_CONTRACT_STATUS", POS_CONTRACT_STATUS, null_as_zero=False),
             "LATE_PAYMENT": truthy("SK_DPD"),
         }
-    ).drop("NAME_CONTRACT_STATUS")
+    )
 
 
 def loan_features(rows: DataFrame) -> DataFrame:
@@ -120,5 +121,5 @@ def features(balance: DataFrame, *, late_of_top: int = 1) -> DataFrame:
     return (
         build_features(rows, SPEC)
         .join(per_client, "SK_ID_CURR", "left")
-        .select(*map(named, COLUMNS))
+        .select(*map(quoted, COLUMNS))
     )

@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import (
     difference,
-    named,
     one_hot,
     safe_ratio,
     simple_interest,
     without_sentinel,
 )
 from creditloom.functions.vocabulary import DAYS_SENTINEL, PREVIOUS_APPLICATION
-from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
+from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 
 SENTINEL_COLUMNS = (
     "DAYS_FIRST_DRAWING",
@@ -290,6 +289,9 @@ def build_spec(*, approved_as_recorded: bool = True) -> FeatureSpec:
             _recent("PREV_LAST12M_", 360),
             _recent("PREV_LAST24M_", 720),
         ),
+        vocabularies=tuple(
+            Vocabulary(c, v, null_as_zero=False) for c, v in PREVIOUS_APPLICATION.items()
+        ),
     )
 
 
@@ -365,5 +367,5 @@ def features(
     spec = build_spec(approved_as_recorded=approved_as_recorded)
     repaid = safe_ratio("PREV_ACTIVE_AMT_PAYMENT_SUM", "PREV_ACTIVE_AMT_CREDIT_SUM")
     return (
-        build_features(rows, spec).withColumn(REPAID, repaid).select(*map(named, COLUMNS))
+        build_features(rows, spec).withColumn(REPAID, repaid).select(*map(quoted, COLUMNS))
     )

@@ -33,6 +33,24 @@ def local_session(cores: int | str = 8, app: str = "creditloom", **extra: str) -
     return session
 
 
+#: Settings of a session, not of a cluster; see :func:`tune`.
+TUNING = {
+    # A generated method above 8000 bytes of bytecode is never compiled by the JVM. Wide
+    # aggregations reach that size and then run several times slower than without whole-stage
+    # code, so they should fall back to the operator-by-operator code, which is split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings wide aggregations need, leaving alone what the user has set."""
+    chosen = dict(spark.sparkContext.getConf().getAll())
+    for name, value in TUNING.items():
+        if name not in chosen:
+            spark.conf.set(name, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder the cluster names; only where none is named, take a scratch folder."""
     context = spark.sparkContext

@@ -185,7 +185,7 @@ def _previous_application(d: Offsets) -> dict[str, str]:
         "SK_ID_CURR": _CLIENT,
         "DAYS_DECISION": d.days("o_orderdate"),
         "HOUR_APPR_PROCESS_START": "CAST(o_orderkey % 24 AS INTEGER)",
-        "AMT_APPLICATION": f"{_PRICE} - o_orderkey % 1000",
+        "AMT_APPLICATION": f"round({_PRICE} * (3 + o_orderkey % 5) / 5e0)",
         "AMT_CREDIT": f"CASE WHEN o_orderkey % 31 = 0 THEN 0e0 ELSE {_PRICE} END",
         "AMT_ANNUITY": "CASE WHEN o_orderkey % 6 <> 0 THEN o_orderkey % 9000 * 10e0 END",
         "AMT_DOWN_PAYMENT": "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 700 * 100e0 END",

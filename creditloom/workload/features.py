@@ -11,9 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalar import named
 from creditloom.functions.vocabulary import PREVIOUS_APPLICATION
-from creditloom.operators.spec import FeatureSpec, Segment
+from creditloom.operators.spec import FeatureSpec, Segment, quoted
 from creditloom.plans import (
     application_peers,
     bureau,
@@ -46,13 +45,13 @@ def comparable(df: DataFrame, keys: Iterable[str], inexact: Iterable[str]) -> Da
     """All features as doubles, the order-dependent ones at single precision."""
     keys, inexact = set(keys), set(inexact)
 
-    def shown(name: str):
+    def shown(name: str) -> str:
         if name in keys:
-            return named(name)
-        column = named(name).cast("float") if name in inexact else named(name)
-        return column.cast("double").alias(name)
+            return quoted(name)
+        value = f"CAST({quoted(name)} AS FLOAT)" if name in inexact else quoted(name)
+        return f"CAST({value} AS DOUBLE) AS {quoted(name)}"
 
-    return df.select(*map(shown, df.columns))
+    return df.selectExpr(*map(shown, df.columns))
 
 
 def inexact_names(spec: FeatureSpec) -> list[str]:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import ColumnLike, named
+from creditloom.session import tune
 
 #: All day and month offsets count from this date.
 REFERENCE_DATE = "2001-12-31"
@@ -49,7 +50,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(entry: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: entry.run(Tables(spark, folder))
+        return lambda spark, folder: entry.run(Tables(tune(spark), folder))
 
     return {name: bind(entry) for name, entry in _QUERIES.items()}
 
