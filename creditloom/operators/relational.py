@@ -2,8 +2,8 @@
 
 All of them shuffle on declared keys and leave the join strategy to Catalyst and AQE. A side is
 broadcast only after its row count has been checked. Hot keys: aggregates are merged before their
-shuffle, and the joins below keep the row side as the streamed side, so that AQE can split a
-skewed partition of it.
+shuffle, and rows meet the aggregates of their group through :func:`group_table`, which lets AQE
+split a skewed partition of the rows.
 """
 
 from __future__ import annotations
@@ -22,14 +22,33 @@ def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def group_table(
+    df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row per group, meant to be joined back to the rows of a table that may be skewed.
+
+    AQE splits a hot partition only between two plain shuffles. A table fresh from a ``groupBy`` is
+    already partitioned by its keys, so a join on them would take it as it is and the rows of a
+    hot key would stay in one task. Grouping by a hash next to the keys does not change the groups
+    but makes the join shuffle this side too - few and narrow rows - and with that the rows can be
+    split.
+    """
+    grouped = (
+        df.withColumn("__spread", F.xxhash64(*map(named, keys)))
+        .groupBy(*map(named, keys), "__spread")
+        .agg(
+            F.lit(True).alias("__exists"),
+            *(column.alias(name) for name, column in (totals or {}).items()),
+        )
+    )
+    return grouped.drop("__spread", "__exists")
+
+
 def with_group_total(
     df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]
 ) -> DataFrame:
     """Attach aggregates of a row's group to the row; rows with a NULL key get NULLs."""
-    per_group = df.groupBy(*map(named, keys)).agg(
-        *(column.alias(name) for name, column in totals.items())
-    )
-    return df.join(per_group, list(keys), "left")
+    return df.join(group_table(df, keys, totals), list(keys), "left")
 
 
 def with_peer_means(
@@ -60,7 +79,9 @@ def latest_rows(df: DataFrame, key: str, order: str) -> DataFrame:
     The semi-join runs on (key, order): the rows of a large group spread over its order values
     and only the tied latest rows meet.
     """
-    newest = df.groupBy(named(key)).agg(F.max(named(order)).alias(order))
+    newest = group_table(df, [key], {"__newest": F.max(named(order))}).withColumnRenamed(
+        "__newest", order
+    )
     return df.join(newest, [key, order], "left_semi")
 
 
@@ -68,8 +89,8 @@ def with_activity_in(
     df: DataFrame, key: str, offset: str, length: int, *, inclusive: bool = False
 ) -> DataFrame:
     """All rows - old ones too - of the groups that have a row in the trailing period."""
-    active = df.where(within_trailing(offset, length, inclusive=inclusive)).select(named(key))
-    return df.join(active.distinct(), key, "left_semi")
+    active = df.where(within_trailing(offset, length, inclusive=inclusive))
+    return df.join(group_table(active, [key]), key, "left_semi")
 
 
 def with_single_member_in(
@@ -80,9 +101,9 @@ def with_single_member_in(
     One distinct member means smallest = largest, so no distinct aggregate is needed.
     """
     recent = df.where(within_trailing(offset, length))
+    ends = {"__first": F.min(named(member)), "__last": F.max(named(member))}
     single = (
-        recent.groupBy(named(key))
-        .agg(F.min(named(member)).alias("__first"), F.max(named(member)).alias("__last"))
+        group_table(recent, [key], ends)
         .where(F.col("__first") == F.col("__last"))
         .select(named(key))
     )
@@ -91,8 +112,7 @@ def with_single_member_in(
 
 def with_event(df: DataFrame, events: DataFrame, key: str, condition: Column) -> DataFrame:
     """The rows whose key has at least one event that meets the condition."""
-    hit = events.where(condition).select(named(key)).distinct()
-    return df.join(hit, key, "left_semi")
+    return df.join(group_table(events.where(condition), [key]), key, "left_semi")
 
 
 def union_all(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import indicator, one_hot, safe_ratio
 from creditloom.functions.vocabulary import CARD_CONTRACT_STATUS
+from creditloom.operators.relational import group_table
 from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
 
 
@@ -108,5 +109,5 @@ def features(cards: DataFrame) -> DataFrame:
     whether it was active in a trailing period. So one join serves four segments.
     """
     rows = row_features(cards.where("SK_ID_CURR IS NOT NULL"))
-    last_month = cards.groupBy("SK_ID_PREV").agg(F.max("MONTHS_BALANCE").alias("LAST_MONTH"))
+    last_month = group_table(cards, ["SK_ID_PREV"], {"LAST_MONTH": F.max("MONTHS_BALANCE")})
     return build_features(rows.join(last_month, "SK_ID_PREV", "left"), SPEC)

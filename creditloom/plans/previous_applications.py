@@ -349,11 +349,9 @@ def row_features(previous: DataFrame) -> DataFrame:
     )
 
 
-def features(
-    previous: DataFrame, payments: DataFrame, *, approved_as_recorded: bool = True
-) -> DataFrame:
-    """One row per client."""
-    rows = (
+def loan_rows(previous: DataFrame, payments: DataFrame) -> DataFrame:
+    """One row per application with its own features and what its payments say."""
+    return (
         row_features(previous)
         .join(payments_per_loan(payments), "SK_ID_PREV", "left")
         .withColumns(
@@ -364,8 +362,14 @@ def features(
             }
         )
     )
-    spec = build_spec(approved_as_recorded=approved_as_recorded)
-    repaid = safe_ratio("PREV_ACTIVE_AMT_PAYMENT_SUM", "PREV_ACTIVE_AMT_CREDIT_SUM")
-    return (
-        build_features(rows, spec).withColumn(REPAID, repaid).select(*map(quoted, COLUMNS))
+
+
+def features(
+    previous: DataFrame, payments: DataFrame, *, approved_as_recorded: bool = True
+) -> DataFrame:
+    """One row per client."""
+    wide = build_features(
+        loan_rows(previous, payments), build_spec(approved_as_recorded=approved_as_recorded)
     )
+    repaid = safe_ratio("PREV_ACTIVE_AMT_PAYMENT_SUM", "PREV_ACTIVE_AMT_CREDIT_SUM")
+    return wide.withColumn(REPAID, repaid).select(*map(quoted, COLUMNS))
