@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.aggregates import Aggregate, lookup
 from creditloom.functions.scalar import named
-from creditloom.operators.grouped import group_median, top_k_mean
+from creditloom.operators.grouped import HOT_GROUP_ROWS, group_median, top_k_mean
+from creditloom.operators.relational import broadcast_if_small
+from creditloom.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -211,10 +213,54 @@ def _ranked(
     )
 
 
-def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+def cluster_by_key(
+    rows: DataFrame,
+    keys: Sequence[str],
+    members: DataFrame,
+    *,
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Bring the rows of a key together ahead of a wide aggregation.
+
+    The partial result of a wide aggregation is several times the size of a row, and when the few
+    rows of a key are scattered, every row becomes such a result on its way to the shuffle.
+    Shuffling the rows themselves moves less, and leaves one partial result per key.
+
+    The group sizes are checked on ``members``, a table with the same keys (usually the narrow
+    source of ``rows``). A key with more than ``hot_rows`` rows is dealt out over as many pieces as
+    it needs by a hash of the row; its partial results meet in the final aggregation.
+    """
+    names = list(map(quoted, keys))
+    sizes = members.groupBy(*names).agg(F.count(F.lit(1)).alias("__members"))
+    hot = sizes.where(F.col("__members") > hot_rows).na.drop(subset=list(keys))
+    if hot.isEmpty():
+        return rows.repartition(*names)
+    pieces = F.ceil(F.col("__members") / hot_rows).cast("int")
+    hot = cut_lineage(hot.select(*names, pieces.alias("__pieces")))
+    piece = F.pmod(F.xxhash64(*map(named, rows.columns)), F.coalesce("__pieces", F.lit(1)))
+    return (
+        rows.join(broadcast_if_small(hot), list(keys), "left")
+        .withColumn("__piece", piece)
+        .repartition(*names, "__piece")
+        .drop("__pieces", "__piece")
+    )
+
+
+#: Specs with at least this many features bring the rows of a key together first.
+WIDE = 64
+
+
+def build_features(
+    df: DataFrame,
+    spec: FeatureSpec,
+    *,
+    members: DataFrame | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
     """One row per key with all features of the spec, in its column order.
 
-    Rows with a NULL key are left out.
+    Rows with a NULL key are left out. ``members`` is a table with the same rows per key as ``df``
+    that is cheaper to count, if there is one.
     """
     compiler = _Compiler(spec)
     features = spec.features()
@@ -233,7 +279,12 @@ def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
             fused[f"__present_{feature.segment.prefix}"] = present
     # A spec of distinct or ranked features only still needs one row per key.
     fused = fused or {"__rows": "count(1)"}
-    result = base.groupBy(*map(quoted, spec.keys)).agg(
+    rows = base
+    # Segments chosen by a group predicate reuse the aggregates of the whole table.
+    if sum(f.name in fused and f.segment.group is None for f in features) >= WIDE:
+        counted = (df if members is None else members).where(has_key)
+        rows = cluster_by_key(base, spec.keys, counted, hot_rows=hot_rows)
+    result = rows.groupBy(*map(quoted, spec.keys)).agg(
         *(F.expr(f"{text} AS {quoted(name)}") for name, text in fused.items())
     )
 

@@ -247,7 +247,7 @@ def loan_rows(bureau: DataFrame, balance: DataFrame) -> DataFrame:
 
 def features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
     """One row per client."""
-    wide = build_features(loan_rows(bureau, balance), SPEC)
+    wide = build_features(loan_rows(bureau, balance), SPEC, members=bureau)
     latest = latest_value(
         bureau.where("SK_ID_CURR IS NOT NULL"),
         "SK_ID_CURR",

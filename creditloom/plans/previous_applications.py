@@ -368,8 +368,7 @@ def features(
     previous: DataFrame, payments: DataFrame, *, approved_as_recorded: bool = True
 ) -> DataFrame:
     """One row per client."""
-    wide = build_features(
-        loan_rows(previous, payments), build_spec(approved_as_recorded=approved_as_recorded)
-    )
+    spec = build_spec(approved_as_recorded=approved_as_recorded)
+    wide = build_features(loan_rows(previous, payments), spec, members=previous)
     repaid = safe_ratio("PREV_ACTIVE_AMT_PAYMENT_SUM", "PREV_ACTIVE_AMT_CREDIT_SUM")
     return wide.withColumn(REPAID, repaid).select(*map(quoted, COLUMNS))

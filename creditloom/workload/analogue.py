@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from creditloom.functions.vocabulary import DAYS_SENTINEL, POS_CONTRACT_STATUS, PREVIOUS_APPLICATION
+from creditloom.sources.tables import spread
 from creditloom.workload.registry import REFERENCE_DATE, Tables, days_sql, months_sql
 
 
@@ -220,9 +221,10 @@ def credit_table(t: Tables, name: str) -> DataFrame:
         right, condition = rest.split(" ON ")
         first, second = condition.split(" = ")
         lines, orders = getattr(t, left), getattr(t, right)
+        lines = spread(lines)
         rows = lines.join(orders, lines[first] == orders[second])
     else:
-        rows = getattr(t, source)
+        rows = spread(getattr(t, source))
     return rows.selectExpr(
         *(f"{expression} AS {column}" for column, expression in _COLUMNS[name](SPARK).items())
     )

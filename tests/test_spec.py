@@ -148,3 +148,23 @@ def test_fused_plan_equals_branches(spark, name):
         for client, row in fused.items():
             if client not in present:
                 assert all(row[f.name] is None for f in part.features())
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 4])
+def test_wide_specs_survive_a_hot_client(spark, capsys, hot_rows):
+    """A third of all rows on one client: its rows are dealt out, the features stay the same."""
+    columns = [f"c{i}" for i in range(20)]
+    frame = spark.range(300).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS client",
+        *(f"CAST((id * {7 + i}) % 101 AS DOUBLE) AS {c}" for i, c in enumerate(columns)),
+    )
+    blocks = tuple(block(fn, *columns) for fn in ("mean", "max", "min", "sum"))
+    spec = FeatureSpec(("client",), (Segment("X_", (*blocks, block("nunique", "c0"))),))
+    result = build_features(frame, spec, hot_rows=hot_rows)
+    result.explain()
+    assert ("__piece" in capsys.readouterr().out) is (hot_rows == 4)
+    fused = {r.client: r for r in result.collect()}
+    branches = branch_features(frame, spec).collect()
+    assert len(fused) == len(branches) == frame.select("client").distinct().count()
+    for branch in branches:
+        assert all(same(branch[c], fused[branch.client][c]) for c in spec.names())
