@@ -10,6 +10,8 @@ from creditloom.functions.vocabulary import BUREAU, MONTHLY_STATUS
 from creditloom.operators.grouped import latest_value
 from creditloom.operators.relational import with_peer_means
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
+from creditloom.session import written
+
 
 PEER_COLUMNS = (
     "AMT_CREDIT_MAX_OVERDUE",
@@ -239,10 +241,16 @@ def row_features(loans: DataFrame) -> DataFrame:
 
 
 def loan_rows(bureau: DataFrame, balance: DataFrame) -> DataFrame:
-    """One row per bureau loan with its own, its history's and its peers' features."""
-    joined = row_features(bureau).join(balance_history(balance), "SK_ID_BUREAU", "left")
-    joined = joined.withColumn("STATUS_12345", row_sum([f"STATUS_{i}" for i in range(1, 6)]))
-    return with_peer_means(joined, "MONTHS_BALANCE_SIZE", PEER_COLUMNS, "LL_")
+    """One row per bureau loan with its own, its history's and its peers' features.
+
+    The loans with their history are read twice - for the peer means and for the features - so
+    they are joined once and written.
+    """
+    joined = written(bureau.join(balance_history(balance), "SK_ID_BUREAU", "left"))
+    rows = row_features(joined).withColumn(
+        "STATUS_12345", row_sum([f"STATUS_{i}" for i in range(1, 6)])
+    )
+    return with_peer_means(rows, "MONTHS_BALANCE_SIZE", PEER_COLUMNS, "LL_")
 
 
 def features(bureau: DataFrame, balance: DataFrame) -> DataFrame:

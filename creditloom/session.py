@@ -80,3 +80,13 @@ def scratch_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="creditloom-scratch-")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the scratch folder and return that table.
+
+    For intermediate tables of the size of an input that several passes read, each a few columns.
+    """
+    folder = scratch_folder(df.sparkSession) + "/table"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

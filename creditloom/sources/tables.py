@@ -50,11 +50,11 @@ def read_run(spark: SparkSession, path: str, run_date: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Deal a table read in fewer pieces than there are cores out to all of them.
+    """Deal a table read in far fewer pieces than there are cores out to all of them.
 
     A Parquet row group is read by one task, and a map-side aggregation over a broadcast join
-    stays in that task. Tables in many pieces are returned as they are, without a shuffle. Only for
+    stays in that task. Tables in more pieces are returned as they are, without a shuffle. Only for
     freshly read tables: counting the pieces of a derived table could start a job.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if 4 * table.rdd.getNumPartitions() <= cores else table
