@@ -91,7 +91,7 @@ def branch_plans(t: Tables) -> dict[str, Callable[[], DataFrame]]:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = tune(local_session(cores=cores, app="bench", spark__sql__shuffle__partitions=cores))
     queries = workload.callables()
     seconds = {name: timed(lambda n=name: queries[n](spark, folder), runs) for name in HEADLINE}

@@ -51,17 +51,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only where none is named, take a scratch folder."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that the cluster names; in local mode, a scratch folder."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
-    if named is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="creditloom-checkpoint-")
-    context.setCheckpointDir(named)
+    named = (
+        spark.conf.get(CHECKPOINT_SETTING, None)
+        or context.getConf().get(CHECKPOINT_SETTING)
+        or context.getCheckpointDir()
+    )
+    if named is not None:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
+    return tempfile.mkdtemp(prefix="creditloom-")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -71,15 +78,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name for intermediate tables, below the shared folder the cluster names."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_SETTING
-    )
-    if named is not None:
-        return f"{named.rstrip('/')}/scratch-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="creditloom-scratch-")
+    """A new folder name for intermediate tables, below the shared folder."""
+    return f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -41,7 +41,8 @@ def src_run_date_partition(t: Tables) -> DataFrame:
         "o_totalprice",
         F.concat(F.year("o_orderdate").cast("string"), F.lit("1231")).alias(tables.RUN_DATE),
     )
-    dated.write.mode("overwrite").partitionBy(tables.RUN_DATE).parquet(folder)
+    balanced = dated.hint("rebalance", tables.RUN_DATE)
+    balanced.write.mode("overwrite").partitionBy(tables.RUN_DATE).parquet(folder)
     return tables.read_run(t.spark, folder, "19981231")
 
 
