@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.scalar import difference, one_hot, row_sum, safe_ratio
 from creditloom.functions.vocabulary import BUREAU, MONTHLY_STATUS
 from creditloom.operators.grouped import latest_value
-from creditloom.operators.relational import with_peer_means
+from creditloom.operators.relational import group_table, with_peer_means
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 from creditloom.session import written
 
@@ -209,16 +209,16 @@ COLUMNS = [*SPEC.names(), LATEST, *RATIOS]
 def balance_history(balance: DataFrame) -> DataFrame:
     """Per loan: share of months in each status, and the extent of the history."""
     status = one_hot("STATUS", MONTHLY_STATUS, null_as_zero=True)
-    return (
-        balance.where("SK_ID_BUREAU IS NOT NULL")
-        .groupBy("SK_ID_BUREAU")
-        .agg(
-            *(F.avg(flag).alias(name) for name, flag in status.items()),
-            F.min("MONTHS_BALANCE").alias("MONTHS_BALANCE_MIN"),
-            F.max("MONTHS_BALANCE").alias("MONTHS_BALANCE_MAX"),
-            F.avg("MONTHS_BALANCE").alias("MONTHS_BALANCE_MEAN"),
-            F.count("MONTHS_BALANCE").alias("MONTHS_BALANCE_SIZE"),
-        )
+    return group_table(
+        balance.where("SK_ID_BUREAU IS NOT NULL"),
+        ["SK_ID_BUREAU"],
+        {
+            **{name: F.avg(flag) for name, flag in status.items()},
+            "MONTHS_BALANCE_MIN": F.min("MONTHS_BALANCE"),
+            "MONTHS_BALANCE_MAX": F.max("MONTHS_BALANCE"),
+            "MONTHS_BALANCE_MEAN": F.avg("MONTHS_BALANCE"),
+            "MONTHS_BALANCE_SIZE": F.count("MONTHS_BALANCE"),
+        },
     )
 
 

@@ -13,6 +13,7 @@ from creditloom.functions.scalar import (
     without_sentinel,
 )
 from creditloom.functions.vocabulary import DAYS_SENTINEL, PREVIOUS_APPLICATION
+from creditloom.operators.relational import group_table
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 
 SENTINEL_COLUMNS = (
@@ -311,14 +312,14 @@ COLUMNS = _columns()
 
 def payments_per_loan(payments: DataFrame) -> DataFrame:
     """Per loan: amounts due and paid, and whether any payment came after its due day."""
-    return (
-        payments.where("SK_ID_PREV IS NOT NULL")
-        .groupBy("SK_ID_PREV")
-        .agg(
-            F.sum("AMT_INSTALMENT").alias("AMT_INSTALMENT"),
-            F.sum("AMT_PAYMENT").alias("AMT_PAYMENT"),
-            F.max(F.col("DAYS_ENTRY_PAYMENT") > F.col("DAYS_INSTALMENT")).alias("PAID_LATE"),
-        )
+    return group_table(
+        payments.where("SK_ID_PREV IS NOT NULL"),
+        ["SK_ID_PREV"],
+        {
+            "AMT_INSTALMENT": F.sum("AMT_INSTALMENT"),
+            "AMT_PAYMENT": F.sum("AMT_PAYMENT"),
+            "PAID_LATE": F.max(F.col("DAYS_ENTRY_PAYMENT") > F.col("DAYS_INSTALMENT")),
+        },
     )
 
 
