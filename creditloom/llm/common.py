@@ -53,3 +53,24 @@ def record_batch(columns: Mapping[str, Iterable], schema: pa.Schema) -> pa.Recor
 def texts_of(column: pa.Array) -> list[str]:
     """The texts of a column, an empty one for null."""
     return [text or "" for text in column.to_pylist()]
+
+
+def quoted(*names: str) -> list[Column]:
+    """Columns by their exact names, whatever characters these hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
+def rest_of(df: DataFrame, *without: str) -> Column:
+    """All other columns of a row as one struct, so that their names clash with nothing."""
+    others = [name for name in df.columns if name not in without]
+    return F.struct(*quoted(*others)) if others else F.struct(F.lit(None).alias("none"))
+
+
+def restored(df: DataFrame, like: DataFrame, struct: str, **values: Column) -> DataFrame:
+    """The columns of ``like``, taken from a struct made by :func:`rest_of` or given by name."""
+    return df.select(
+        *(
+            values.get(name, F.col(struct).getField(name)).alias(name)
+            for name in like.columns
+        )
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import mixing, sql, warc
+from creditloom.llm import line_dedup, mixing, sql, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op2_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return line_dedup.line_report(line_dedup.drop_common_lines(docs))
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -56,3 +56,25 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
             THEN floor(before::DOUBLE / target * 1e9)::BIGINT END AS position_ppb
 FROM rest
 """
+
+op10_line_dedup = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+    FROM documents
+), numbered AS (
+    SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM split
+), keyed AS (
+    SELECT r, doc_id, n, line,
+           translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM numbered
+), frequent AS (
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+       count(*) FILTER (WHERE f.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE f.key IS NULL), ''))
+           AS kept_sha256
+FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+GROUP BY r
+"""
