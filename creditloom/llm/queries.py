@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, mixing, sql, warc
+from creditloom.llm import line_dedup, mixing, simhash, sql, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return line_dedup.line_report(line_dedup.drop_common_lines(docs))
