@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, mixing, simhash, sql, warc
+from creditloom.llm import line_dedup, mixing, simhash, sql, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(_table(spark, folder, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors)
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return line_dedup.line_report(line_dedup.drop_common_lines(docs))
