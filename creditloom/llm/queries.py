@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, mixing, simhash, sql, topk, warc
+from creditloom.llm import line_dedup, mixing, packing, simhash, sql, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,21 @@ def op2_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def byte_bpe() -> dict[str, str]:
+    """The tokenizer of the packing query: files of a package that every executor has."""
+    import public_tokenizers
+
+    return {
+        "tokenizer": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.tokenised(_table(spark, folder, "documents"), **byte_bpe()))
+
+
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
