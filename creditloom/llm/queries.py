@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, mixing, packing, simhash, sql, topk, warc
+from creditloom.llm import line_dedup, mixing, packing, quality_rules, simhash, sql, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +55,12 @@ def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors)
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    trees = quality_rules.fit_rules(docs, _table(spark, folder, "labels"))
+    return quality_rules.judged(docs, trees).drop("score")
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return line_dedup.line_report(line_dedup.drop_common_lines(docs))
