@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, mixing, packing, quality_rules, simhash, sql, topk, warc
+from creditloom.llm import line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _fold(folds: int) -> Column:
+    """The fold of a document, from the checksum of its id as text; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
 def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_report(warc.write_archive(_table(spark, folder, "pages")))
 
@@ -46,6 +51,17 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.tokenised(_table(spark, folder, "documents"), **byte_bpe()))
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    weights = quality_model.learn(docs, labels.where(_fold(4) != 2))
+    return quality_model.scored(docs, weights).select(
+        "doc_id",
+        (_fold(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
