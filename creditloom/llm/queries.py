@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, topk, warc
+from creditloom.llm import language, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,12 @@ def byte_bpe() -> dict[str, str]:
     }
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = language.predicted(docs, language.dictionaries(docs.where(_fold(5) != 0)))
+    return found.select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.tokenised(_table(spark, folder, "documents"), **byte_bpe()))
 

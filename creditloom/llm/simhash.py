@@ -318,6 +318,6 @@ def near_duplicates(
     )
     smallest = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     members = named.join(smallest, "root").select("fingerprint", "component_id")
-    return prints.join(members.repartition("fingerprint"), "fingerprint").select(
+    return prints.join(members, "fingerprint").select(
         "doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id"
     )
