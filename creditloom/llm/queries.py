@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import language, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, topk, warc
+from creditloom.llm import language, licenses, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.tokenised(_table(spark, folder, "documents"), **byte_bpe()))
 

@@ -1,5 +1,7 @@
 """For each query that SQL can express, the DuckDB statement that gives the same rows."""
 
+from creditloom.llm.licenses import TEMPLATES
+
 op1_warc_archive = """
 WITH named AS (
     SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
@@ -95,3 +97,39 @@ WITH v AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+_LICENSE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES.items())
+
+op4_license_scan = rf"""
+WITH template AS (
+    SELECT license_id, string_split(trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')
+        AS w
+    FROM (VALUES {_LICENSE_ROWS}) AS t(license_id, body)
+), wanted AS (
+    SELECT license_id,
+           list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
+    FROM template
+), normal AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS body
+    FROM documents
+), cut AS (
+    SELECT r, doc_id, unnest(list_distinct(string_split(body, chr(10))
+           || regexp_split_to_array(body, '\n *\n[ \n]*') || [body])) AS part
+    FROM normal
+), worded AS (
+    SELECT r, doc_id, row_number() OVER () AS p,
+           string_split(trim(regexp_replace(part, '[ \n]+', ' ', 'g')), ' ') AS w
+    FROM cut
+), grams AS (
+    SELECT r, doc_id, p,
+           list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
+    FROM worded WHERE len(w) > 1
+), compared AS (
+    SELECT r, doc_id, license_id,
+           2.0::DOUBLE * len(list_intersect(g.b, t.b)) / (len(g.b) + len(t.b)) AS dice
+    FROM grams g JOIN wanted t ON len(g.b) < 2 * len(t.b) AND len(t.b) < 2 * len(g.b)
+)
+SELECT any_value(doc_id) AS doc_id, license_id, max(dice) AS dice, count(*) AS n_parts
+FROM compared WHERE dice >= 0.8 GROUP BY r, license_id
+"""
