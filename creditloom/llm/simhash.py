@@ -11,6 +11,10 @@ all its counters exceed the radius.
 Only distinct fingerprints are compared. A bucket gives a spanning forest of its links, not all
 pairs; large buckets are split into blocks that meet pairwise. Components are joined from there.
 
+:func:`near_duplicates` links fingerprints and misses none within its radius. :func:`one_of_each`
+links texts by the Jaccard similarity of their shingle sets: wide fingerprints propose pairs, each
+is checked exactly, and a pair at the lowest similarity is proposed with a stated probability.
+
 Defined results: a null, empty or blank text has the fingerprint zero and is linked like any other;
 repeated rows and ties in ids share a component; null ids take part, and a component without any id
 has a null name. Other columns are ignored here.
@@ -19,18 +23,23 @@ has a null name. Other columns are ignored here.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator, Sequence
+import math
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from creditloom.llm.common import map_batches, texts_of
+from creditloom.llm.common import map_batches, quoted, record_batch, rest_of, restored, texts_of
 from creditloom.llm.components import components
 from creditloom.operators.relational import group_table
-from creditloom.session import written
+from creditloom.session import scratch_folder, written
 
 WORD = 64
 #: The mixing constants of a well-known 64-bit finaliser.
@@ -40,20 +49,24 @@ GAMMA, MIX_A, MIX_B = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 # --- fingerprints ---------------------------------------------------------------------------
 
 
-def shingle_hashes(text: str, words: int, seed: int = 42) -> np.ndarray:
-    """XXH64 of all shingles of a text, repeats included, as unsigned numbers."""
-    # of bytes, lower() changes A-Z alone and split() takes blank, tab, \\n, \\v, \\f and \\r
+def shingles(text: str, words: int) -> list[bytes]:
+    """All runs of ``words`` words of a lower-cased text, repeats included, joined by blanks."""
+    # of bytes, lower() changes A-Z alone and split() takes blank, tab, \n, \v, \f and \r
     parts = text.encode().lower().split()
     if not parts:
-        return np.empty(0, dtype=np.uint64)
+        return []
     joined = b" ".join(parts)
-    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-    starts = (ends - [len(p) for p in parts]).tolist()
+    sizes = list(map(len, parts))
+    ends = np.cumsum([n + 1 for n in sizes]) - 1
+    starts = (ends - sizes).tolist()
     ends = ends[min(words, len(parts)) - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter(
-        (digest(joined[a:b], seed) for a, b in zip(starts, ends)), dtype=np.uint64, count=len(ends)
-    )
+    return [joined[a:b] for a, b in zip(starts, ends)]
+
+
+def shingle_hashes(text: str, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of all shingles of a text as unsigned numbers."""
+    parts, digest = shingles(text, words), xxhash.xxh64_intdigest
+    return np.fromiter((digest(p, seed) for p in parts), dtype=np.uint64, count=len(parts))
 
 
 def widened(hashes: np.ndarray, lanes: int) -> np.ndarray:
@@ -88,6 +101,23 @@ def _column_sums(bits: np.ndarray) -> np.ndarray:
     return total
 
 
+def with_fingerprints(rows: DataFrame, words: int, lanes: int) -> DataFrame:
+    """``rows``, which have a string ``text``, with its ``fingerprint`` (8 bytes for each lane)."""
+    schema = T.StructType([*rows.schema, T.StructField("fingerprint", T.BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [
+                majority(shingle_hashes(value, words), lanes)
+                for value in texts_of(batch.column("text"))
+            ]
+            same = {name: batch.column(name) for name in batch.schema.names}
+            yield record_batch({**same, "fingerprint": prints}, arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
 def fingerprints(
     docs: DataFrame,
     words: int = 3,
@@ -273,23 +303,44 @@ def bucket_blocks(buckets: DataFrame, block: int) -> DataFrame:
     )
 
 
-def compare_blocks(blocks: DataFrame, radius: int) -> DataFrame:
-    """Spanning links ``a``, ``b`` (fingerprints) of every block or pair of blocks."""
+#: Rows of fingerprints that meet each other, or those of a second array.
+Block = tuple[np.ndarray, "np.ndarray | None"]
+Links = list[tuple[int, int]]
+
+
+def compare_blocks(
+    blocks: DataFrame, link: Callable[[list[Block]], Iterable[Links]], rows: int = 8192
+) -> DataFrame:
+    """Links ``a``, ``b`` (fingerprints) that ``link`` finds in every block or pair of blocks.
+
+    ``link`` gets blocks of about ``rows`` fingerprints together.
+    """
 
     def matrix(values: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(values), -1)
 
+    def links_of(held: list[tuple[list[bytes], list[bytes]]]) -> dict:
+        a, b = [], []
+        parts = [(matrix(left), matrix(right) if right else None) for left, right in held]
+        for (left, right), links in zip(held, link(parts)):
+            everything = left + right
+            a += [everything[x] for x, _ in links]
+            b += [everything[y] for _, y in links]
+        return {"a": a, "b": b}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held, size = [], 0
         for batch in batches:
-            a, b = [], []
             for left, right in zip(*(c.to_pylist() for c in batch.columns)):
                 if not left or right == []:
                     continue
-                everything = left + (right or [])
-                for x, y in spanning_links(matrix(left), matrix(right) if right else None, radius):
-                    a.append(everything[x])
-                    b.append(everything[y])
-            yield {"a": a, "b": b}
+                held.append((left, right or []))
+                size += len(left) + len(right or [])
+                if size >= rows:
+                    yield links_of(held)
+                    held, size = [], 0
+        if held:
+            yield links_of(held)
 
     return map_batches(blocks, run, "a binary, b binary")
 
@@ -311,7 +362,9 @@ def near_duplicates(
     prints = written(fingerprints(docs, words, 1, doc_id, text))
     classes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     buckets = bucketed(classes.select("fingerprint"), pigeonhole_sets(WORD, radius, blocks))
-    links = compare_blocks(bucket_blocks(buckets, block_rows), radius)
+    links = compare_blocks(
+        bucket_blocks(buckets, block_rows), lambda parts: [spanning_links(*part, radius) for part in parts]
+    )
     roots = components(links).select(F.col("node").alias("fingerprint"), "root")
     named = classes.join(roots, "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
@@ -321,3 +374,226 @@ def near_duplicates(
     return prints.join(members, "fingerprint").select(
         "doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id"
     )
+
+
+# --- pairs of similar documents -------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Sketch:
+    """What finds texts whose shingle sets have a Jaccard similarity of at least ``similarity``.
+
+    Fingerprints have ``64 * lanes`` bits. Of two texts at that similarity a bit differs with
+    probability ``chance``. The radii leave room for 3.6 standard deviations above the mean. Buckets
+    are made from so many random bits that an even spread gives ``bucket_rows`` rows each (12 bits at
+    least), and from so many sets of bits that a pair shares a bucket with probability ``recall``.
+    """
+
+    similarity: float = 0.8
+    lanes: int = 4
+    recall: float = 0.985
+    bucket_rows: int = 256
+    seed: int = 42
+
+    @property
+    def chance(self) -> float:
+        cosine = 2 * self.similarity / (1 + self.similarity)
+        return math.acos(min(cosine, 1.0)) / math.pi
+
+    def radius(self, bits: int) -> int:
+        return int(bits * self.chance + 3.6 * math.sqrt(bits * self.chance * (1 - self.chance)))
+
+    def sets(self, rows: int) -> list[list[int]]:
+        size = max(12, math.ceil(math.log2(max(rows, 1) / self.bucket_rows)))
+        together = (1 - self.chance) ** size
+        number = 1 if together >= 1 else math.ceil(math.log(1 - self.recall) / math.log1p(-together))
+        rng = np.random.default_rng(self.seed)
+        bits = WORD * self.lanes
+        return [sorted(rng.choice(bits, size, replace=False).tolist()) for _ in range(number)]
+
+
+def close_pairs(blocks: list[Block], radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that differ in at most ``radius`` bits, as rows of all blocks put one after the other.
+
+    Each row meets the bit planes of its block (of the other side, if there are two) at once: a word
+    holds one bit of its distances to 64 rows, and words whose counters all exceed the radius are
+    abandoned. Each pair is given once.
+    """
+    parts = [part for block in blocks for part in block if part is not None]
+    rows = np.concatenate(parts)
+    # every part starts a new word of the planes
+    words = [-(-len(part) // WORD) for part in parts]
+    first_word = np.cumsum([0, *words])
+    first_row = np.cumsum([0, *map(len, parts)])
+    owner = np.repeat(np.arange(len(parts)), list(map(len, parts)))
+    slot = first_word[owner] * WORD + np.arange(len(rows)) - first_row[owner]
+    row_in = np.full(first_word[-1] * WORD, -1)
+    row_in[slot] = np.arange(len(rows))
+    padded = np.zeros((len(row_in), rows.shape[1]), dtype=np.uint8)
+    padded[slot] = rows
+    planes = planes_of(padded)
+    row, word, part = [], [], 0
+    for left, right in blocks:
+        other = part if right is None else part + 1
+        r, w = np.indices((len(left), words[other]))
+        row.append(r.ravel() + first_row[part])
+        word.append(w.ravel() + first_word[other])
+        part = other + 1
+    row, word = np.concatenate(row), np.concatenate(word)
+
+    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
+    masks = np.where(np.unpackbits(rows, axis=1).astype(bool).T, ones, np.uint64(0))
+    masks = np.ascontiguousarray(masks)
+    depth = max(1, radius.bit_length()) + 1
+    counters = [np.zeros(len(row), dtype=np.uint64) for _ in range(depth)]
+    for at in range(0, len(masks), 3):
+        apart = [planes[b][word] ^ masks[b][row] for b in range(at, min(at + 3, len(masks)))]
+        if len(apart) == 3:
+            a, b, c = apart
+            odd = a ^ b
+            _add(counters, odd ^ c, 0)
+            _add(counters, (a & b) | (odd & c), 1)
+        else:
+            for plane in apart:
+                _add(counters, plane, 0)
+        if at % 12 == 9 and at > radius:
+            live = exceeds(counters, radius) != ones
+            if 2 * live.sum() <= len(live):
+                row, word = row[live], word[live]
+                counters = [c[live] for c in counters]
+                if not len(row):
+                    break
+    inside = ~exceeds(counters, radius)
+    bits = np.unpackbits(inside.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    found, bit = np.nonzero(bits)
+    i, j = row[found], row_in[word[found] * WORD + bit]
+    return i[i < j], j[i < j]
+
+
+def nearest_links(blocks: list[Block], lane_radius: int, radius: int) -> Iterator[Links]:
+    """For each block, links of a shortest spanning forest over the pairs within both radii.
+
+    The first 64 bits are compared bit-sliced; only pairs that pass are compared in full. Shortest
+    links are the ones most likely to stand an exact check. Across two blocks, rows of the second
+    count from the length of the first.
+    """
+    lane = WORD // 8
+    short = [tuple(None if p is None else p[:, :lane] for p in block) for block in blocks]
+    i, j = close_pairs(short, lane_radius)
+    wide = np.concatenate([p for block in blocks for p in block if p is not None])
+    wide = np.ascontiguousarray(wide).view(np.uint64)
+    near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1) <= radius
+    linked = np.unique(np.concatenate([i[near], j[near]]))
+    start = 0
+    for left, right in blocks:
+        end = start + len(left) + (0 if right is None else len(right))
+        nodes = linked[np.searchsorted(linked, start) : np.searchsorted(linked, end)]
+        side = None if right is None else nodes >= start + len(left)
+        tree = _shortest_forest(wide[nodes], side, radius) if len(nodes) else []
+        yield [(int(nodes[a]) - start, int(nodes[b]) - start) for a, b in tree]
+        start = end
+
+
+def _shortest_forest(wide: np.ndarray, side: np.ndarray | None, radius: int) -> Links:
+    """A shortest spanning forest over fingerprints, across the two sides if there are two."""
+    far = np.iinfo(np.int64).max
+    best = np.full(len(wide), far)
+    source = np.zeros(len(wide), dtype=np.int64)
+    waiting = np.ones(len(wide), dtype=bool)
+    links = []
+    for _ in range(len(wide)):
+        at = int(np.argmin(np.where(waiting, best, far)))
+        if not waiting[at]:  # all that wait are out of reach: a new tree
+            at = int(np.argmax(waiting))
+        waiting[at] = False
+        if best[at] <= radius:
+            links.append((int(source[at]), at))
+        distance = np.bitwise_count(wide ^ wide[at]).sum(axis=1, dtype=np.int64)
+        if side is not None:
+            distance[side == side[at]] = far
+        nearer = waiting & (distance < best) & (distance <= radius)
+        best[nearer] = distance[nearer]
+        source[nearer] = at
+    return links
+
+
+def jaccard(left: str, right: str, words: int) -> float:
+    """Similarity of the shingle sets of two texts."""
+    a, b = (set(shingles(text, words)) for text in (left, right))
+    return len(a & b) / max(len(a | b), 1) if a or b else 1.0
+
+
+def verified(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` whose texts ``text_a``, ``text_b`` are similar enough, exactly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            texts = zip(texts_of(batch.column("text_a")), texts_of(batch.column("text_b")))
+            kept = pa.array([jaccard(x, y, words) >= similarity for x, y in texts], pa.bool_())
+            yield {name: batch.column(name).filter(kept) for name in ("a", "b")}
+
+    return map_batches(pairs, run, "a binary, b binary")
+
+
+def one_of_each(
+    docs: DataFrame,
+    words: int = 5,
+    sketch: Sketch = Sketch(),
+    block_rows: int = 2048,
+    buckets: int | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one row of each group of similar texts stays.
+
+    Texts are linked when their sets of word shingles have a Jaccard similarity of at least
+    ``sketch.similarity``; candidates come from SimHash, and each link is checked on the texts. Of a
+    group the row with the smallest id stays (null last; then the smallest content). Copies are
+    merged within tasks before the shuffle. The rows that are left are stored by fingerprint, so
+    that neither the check nor the removal moves all texts again.
+    """
+    spark = docs.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = F.struct(
+        F.col(doc_id).isNull().alias("missing"),
+        F.col(doc_id).alias("id"),
+        F.xxhash64(*quoted(*docs.columns)).alias("content"),
+    )
+    rows = docs.select(
+        F.col(text).cast("string").alias("text"), rest_of(docs, text).alias("row"), order.alias("order")
+    )
+    marked = with_fingerprints(rows, words, sketch.lanes)
+    classes = marked.groupBy("fingerprint").agg(
+        F.min_by(F.struct("text", "row", "order"), "order").alias("first")
+    )
+    name = f"similar_{uuid.uuid4().hex}"
+    (
+        classes.select("fingerprint", "first.*")
+        .write.bucketBy(buckets, "fingerprint")
+        .option("path", f"{scratch_folder(spark)}/classes")
+        .option("compression", "zstd")
+        .saveAsTable(name)
+    )
+    stored = spark.table(name)
+    sets = sketch.sets(stored.count())
+    radius = sketch.radius(WORD), sketch.radius(WORD * sketch.lanes)
+    blocks = bucket_blocks(bucketed(stored.select("fingerprint"), sets), block_rows)
+    found = compare_blocks(blocks, lambda parts: nearest_links(parts, *radius))
+    candidates = written(
+        found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    )
+    texts = stored.select("fingerprint", "text")
+    pairs = candidates.join(
+        texts.select(F.col("fingerprint").alias("a"), F.col("text").alias("text_a")), "a"
+    ).join(texts.select(F.col("fingerprint").alias("b"), F.col("text").alias("text_b")), "b")
+    roots = components(written(verified(pairs, words, sketch.similarity)))
+    orders = stored.select("fingerprint", "order").join(
+        roots.withColumnRenamed("node", "fingerprint"), "fingerprint"
+    )
+    # a group may hold any number of rows: its first is an aggregate, not a sorted window
+    first = orders.groupBy("root").agg(F.min(F.struct("order", "fingerprint")).alias("least"))
+    losers = roots.select(F.col("node").alias("fingerprint")).join(
+        first.select(F.col("least.fingerprint").alias("fingerprint")), "fingerprint", "left_anti"
+    )
+    kept = stored.join(losers, "fingerprint", "left_anti")
+    return restored(kept, docs, "row", **{text: F.col("text")})
