@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import word_count
+from creditloom.llm.common import quoted, word_count
 from creditloom.session import written
 
 #: A schedule: (time, weight) points with times from 0 to 1.
@@ -233,7 +233,7 @@ def training_order(
     bucket and one by position.
     """
     sizes = written(_measured(docs, doc_id, text, source))
-    rows = _measured(docs, doc_id, text, source, F.struct(*docs.columns).alias("row"))
+    rows = _measured(docs, doc_id, text, source, F.struct(*quoted(*docs.columns)).alias("row"))
     running = _running(rows, sizes, schedules, share, max_epochs, rows_per_bucket)
     once_more = (2 * (F.col("rest") - F.col("before")) >= F.col("size")).cast("int")
     copies = F.when(F.col("size") > 0, F.col("epochs").cast("int") + once_more).otherwise(0)
