@@ -7,7 +7,8 @@ twice the number of common distinct word bigrams, divided by the sum of both num
 Two sets can only reach the threshold if neither is much larger than the other. That gives each
 template bounds on the number of bigrams; a part outside all bounds is left out before its bigrams
 are made (by its number of words, and its number of distinct words, between which the number of
-distinct bigrams lies), and a template is compared with parts inside its own bounds only.
+distinct bigrams lies), and a template is compared with parts inside its own bounds only. Parts of
+equal words count once.
 
 Everything is one projection per row, without a shuffle; the templates are a short list given by
 the caller. Defined results: null and empty texts, and those of a single word, match nothing;
@@ -16,8 +17,11 @@ repeated rows are reported each; a template of under two words is refused. Other
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,17 +68,39 @@ def template_bigrams(text: str) -> list[str]:
     return found
 
 
-def size_bounds(number: int, threshold: float) -> tuple[float, float]:
-    """Numbers of bigrams between which the threshold can be reached with ``number`` ones."""
-    return number * threshold / (2 - threshold), number * (2 - threshold) / threshold
+def size_bounds(number: int, threshold: float) -> tuple[int, int]:
+    """Smallest and largest number of bigrams with which ``number`` ones can reach the threshold."""
+    ratio = (2 - threshold) / threshold
+    return math.ceil(number / ratio - 1e-9), math.floor(number * ratio + 1e-9)
 
 
 def _parts(text: Column) -> Column:
-    """Lines, paragraphs and whole of a normalised text, as arrays of words."""
-    parts = F.array_distinct(
-        F.concat(F.split(text, "\n"), F.split(text, "\n *\n[ \n]*"), F.array(text))
-    )
-    return F.transform(parts, lambda part: F.split(F.trim(F.translate(part, "\n", " ")), " +"))
+    """Lines, paragraphs and whole of a normalised text, each once, as arrays of words.
+
+    Only line feeds and single blanks separate words, so lines are cut at blanks, and paragraphs and
+    the whole are put together from their lines.
+    """
+
+    def lines(part: Column) -> Column:
+        return F.transform(F.split(part, "\n"), lambda line: F.trim(line))
+
+    def together(part: Column) -> Column:
+        return F.array_join(F.filter(lines(part), lambda line: line != ""), " ")
+
+    paragraphs = F.transform(F.split(text, "\n *\n[ \n]*"), together)
+    parts = F.array_distinct(F.concat(lines(text), paragraphs, F.array(together(text))))
+    return F.transform(parts, lambda part: F.split(part, " "))
+
+
+def _merged(bounds: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping ranges put together."""
+    ranges: list[tuple[int, int]] = []
+    for low, high in sorted(bounds):
+        if ranges and low <= ranges[-1][1]:
+            ranges[-1] = (ranges[-1][0], max(high, ranges[-1][1]))
+        else:
+            ranges.append((low, high))
+    return ranges
 
 
 def scan(
@@ -87,15 +113,18 @@ def scan(
     """``doc_id``, ``license_id``, ``dice`` and ``n_parts`` for each row and template it matches.
 
     ``dice`` is the largest over the parts of the text that reach the threshold, ``n_parts`` their
-    number, equal parts counted once.
+    number.
     """
     sets = {name: template_bigrams(value) for name, value in sorted(templates.items())}
     bounds = {name: size_bounds(len(found), threshold) for name, found in sets.items()}
-    least, most = (f(x) for f, x in zip((min, max), zip(*bounds.values())))
+    ranges = _merged(bounds.values())
 
     def possible(words: Column) -> Column:
+        # the distinct bigrams number at most this, and at least the distinct words less one
+        number = F.size(words) - 1
         distinct = F.size(F.array_distinct(words)) - 1
-        return (F.size(words) - 1 >= least) & (distinct <= most)
+        inside = [(number >= a) & ((number <= b) | (distinct <= b)) for a, b in ranges]
+        return reduce(or_, inside)
 
     def bigrams(words: Column) -> Column:
         number = F.size(words) - 1
@@ -109,12 +138,13 @@ def scan(
     normal = F.regexp_replace(
         F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"[^\p{L}\p{N}\n]+", " "
     )
-    words = docs.select(
-        F.col(doc_id).alias("doc_id"), F.filter(_parts(normal), possible).alias("words")
-    ).where(F.size("words") > 0)
-    known = words.select("doc_id", F.transform("words", bigrams).alias("parts"))
+    known = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.transform(F.filter(_parts(normal), possible), bigrams).alias("parts"),
+    )
 
-    def match(name: str) -> Column:
+    def reached(name: str) -> Column:
+        """The similarities of the parts that reach the threshold."""
         wanted = F.array(*(F.lit(b) for b in sets[name]))
         low, high = bounds[name]
 
@@ -123,12 +153,20 @@ def scan(
             inside = (F.size(part) >= low) & (F.size(part) <= high)
             return F.when(inside, 2.0 * common / (F.size(part) + len(sets[name])))
 
-        reached = F.filter(F.transform("parts", dice), lambda d: d >= threshold)
-        return F.struct(
-            F.lit(name).alias("license_id"),
-            F.array_max(reached).alias("dice"),
-            F.size(reached).cast("long").alias("n_parts"),
-        )
+        return F.filter(F.transform("parts", dice), lambda d: d >= threshold)
 
-    matches = F.filter(F.array(*map(match, sets)), lambda m: m["n_parts"] > 0)
-    return known.select("doc_id", F.inline(matches))
+    # a projection of its own, so that nothing is computed again for each use
+    found = known.select(
+        "doc_id", *(reached(name).alias(f"reached_{k}") for k, name in enumerate(sets))
+    )
+    matches = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("license_id"),
+                F.array_max(f"reached_{k}").alias("dice"),
+                F.size(f"reached_{k}").cast("long").alias("n_parts"),
+            )
+            for k, name in enumerate(sets)
+        )
+    )
+    return found.select("doc_id", F.inline(F.filter(matches, lambda m: m["n_parts"] > 0)))

@@ -118,11 +118,10 @@ WITH template AS (
            || regexp_split_to_array(body, '\n *\n[ \n]*') || [body])) AS part
     FROM normal
 ), worded AS (
-    SELECT r, doc_id, row_number() OVER () AS p,
-           string_split(trim(regexp_replace(part, '[ \n]+', ' ', 'g')), ' ') AS w
+    SELECT DISTINCT r, doc_id, string_split(trim(regexp_replace(part, '[ \n]+', ' ', 'g')), ' ') AS w
     FROM cut
 ), grams AS (
-    SELECT r, doc_id, p,
+    SELECT r, doc_id,
            list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
     FROM worded WHERE len(w) > 1
 ), compared AS (
