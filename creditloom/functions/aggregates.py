@@ -5,20 +5,27 @@ says for each name which suffix the output column gets, the Spark SQL that compu
 has to be executed at scale:
 
 ``fused``     constant-size state, merged before the shuffle: joins the one wide aggregation.
-``distinct``  needs the distinct values of a column: counted in two narrow grouping steps.
-``ranked``    depends on the order of the values in a group: a narrow operator of its own.
+``distinct``  works on the distinct values of a column, found in two narrow grouping steps; its SQL
+              sees each value once.
+``ranked``    depends on the order of the values in a group: ``operator`` computes it, a function of
+              rows, key names, value column and output name that gives one row per group.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import ColumnLike, named, safe_ratio
 
 
+Operator = Callable[[DataFrame, Sequence[str], str, str], DataFrame]
+EXECUTIONS = ("fused", "distinct", "ranked")
+
+
 @dataclass(frozen=True)
 class Aggregate:
     suffix: str
@@ -27,6 +34,16 @@ class Aggregate:
     execution: str = "fused"
     #: result for a group that exists but has no usable value (NULL unless stated)
     empty: int | float | None = None
+    #: computes a ``ranked`` aggregate
+    operator: Operator | None = None
+
+    def __post_init__(self) -> None:
+        if self.execution not in EXECUTIONS:
+            raise ValueError(f"execution {self.execution!r} is none of {EXECUTIONS}")
+        if self.execution == "ranked" and self.operator is None:
+            raise ValueError(f"the ranked aggregate {self.suffix} needs an operator")
+        if self.execution != "ranked" and not self.sql:
+            raise ValueError(f"the aggregate {self.suffix} needs its SQL")
 
 
 REGISTRY: dict[str, Aggregate] = {}
@@ -52,10 +69,7 @@ register("size", Aggregate("SIZE", "count({})", empty=0))
 register("var", Aggregate("VAR", "var_samp({})"))
 register("std", Aggregate("STD", "stddev_samp({})"))
 register("max_or_zero", Aggregate("MAX", "CAST(max({}) AS DOUBLE)", empty=0.0))
-register("nunique", Aggregate("NUNIQUE", execution="distinct", empty=0))
-register("median", Aggregate("MEDIAN", execution="ranked"))
-register("median_lower", Aggregate("MEDIAN", execution="ranked", empty=0.0))
-register("top3", Aggregate("TOP3", execution="ranked", empty=0.0))
+register("nunique", Aggregate("NUNIQUE", "count({})", execution="distinct", empty=0))
 
 
 def ratio_of_sums(numerator: ColumnLike, divisor: ColumnLike) -> Column:

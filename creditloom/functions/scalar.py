@@ -36,8 +36,8 @@ def safe_ratio(numerator: ColumnLike, divisor: ColumnLike) -> Column:
 
 
 def simple_interest(annuity: ColumnLike, credit: ColumnLike, payments: ColumnLike) -> Column:
-    """Interest per instalment: annuity/credit - payments/payments/payments."""
-    return safe_ratio(annuity, credit) - safe_ratio(safe_ratio(payments, payments), payments)
+    """Interest per instalment: the annuity's share of the credit, less an equal share."""
+    return safe_ratio(annuity, credit) - safe_ratio(F.lit(1), payments)
 
 
 def row_sum(columns: Sequence[ColumnLike]) -> Column:

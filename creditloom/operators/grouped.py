@@ -7,16 +7,17 @@ the value interval around the wanted rank with constant-size aggregates and neve
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditloom.functions.aggregates import Aggregate, register
 from creditloom.functions.scalar import named
 from creditloom.operators.relational import broadcast_if_small
-from creditloom.session import cut_lineage
+from creditloom.session import cut_lineage, written
 
 #: Groups with more rows than this are not aggregated in the memory of one task.
 HOT_GROUP_ROWS = 5_000_000
@@ -37,12 +38,21 @@ def _join_groups(
     return joined if how in ("left_semi", "left_anti") else joined.drop(*other.values())
 
 
-def _direct(df: DataFrame, keys: Sequence[str], value: str, out: str, lower: bool) -> DataFrame:
+def _direct(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    lower: bool,
+    totals: Mapping[str, Column],
+) -> DataFrame:
     quoted = "`" + value.replace("`", "``") + "`"
     text = (
         f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {quoted})" if lower else f"median({quoted})"
     )
-    return df.groupBy(*map(named, keys)).agg(F.expr(text).cast("double").alias(out))
+    return df.groupBy(*map(named, keys)).agg(
+        F.expr(text).cast("double").alias(out), *(c.alias(name) for name, c in totals.items())
+    )
 
 
 def _select_rank(
@@ -155,22 +165,31 @@ def group_median(
     out: str,
     *,
     lower: bool = True,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = HOT_GROUP_ROWS,
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Exact median of ``value`` per group; NULL for a group without values.
 
     ``lower`` takes the lower of the two middle values of an even count, otherwise they are
-    averaged. The group sizes are checked first; only groups above ``hot_rows`` pay for the
-    narrowing rounds.
+    averaged. ``totals`` are further aggregates of the same groups, computed in the same pass.
+
+    Calling this counts the groups, a job of its own over the key and the value; only groups above
+    ``hot_rows`` pay for the narrowing rounds, which read the values of those groups from a table
+    written once. With ``hot_rows=None`` nothing is counted: for groups known to be small.
     """
-    data = df.select(*map(named, keys), named(value).cast("double").alias("__v"))
+    totals = totals or {}
+    data = df.withColumn("__v", named(value).cast("double"))
+    if hot_rows is None:
+        return _direct(data, keys, "__v", out, lower, totals)
     sizes = data.groupBy(*map(named, keys)).agg(F.count("__v").alias("__n"))
     if sizes.where(F.col("__n") > hot_rows).isEmpty():
-        return _direct(data, keys, "__v", out, lower)
+        return _direct(data, keys, "__v", out, lower, totals)
 
     hot = cut_lineage(sizes.where(F.col("__n") > hot_rows))
-    ordinary = _join_groups(data, broadcast_if_small(hot), keys, "left_anti")
-    rows = data.where(F.col("__v").isNotNull())
+    small = broadcast_if_small(hot)
+    ordinary = _join_groups(data, small, keys, "left_anti")
+    large = _join_groups(data, small, keys, "left_semi")
+    rows = written(large.where(F.col("__v").isNotNull()).select(*map(named, keys), "__v"))
 
     def at(rank: Column, name: str) -> DataFrame:
         ranked = hot.select(*map(named, keys), rank.cast("bigint").alias("__rank"))
@@ -183,7 +202,12 @@ def group_median(
         answer = _join_groups(answer, upper, keys, "inner").select(
             *map(named, keys), ((named(out) + F.col("__upper")) / 2).alias(out)
         )
-    return _direct(ordinary, keys, "__v", out, lower).unionByName(answer)
+    if totals:
+        summed = large.groupBy(*map(named, keys)).agg(
+            *(c.alias(name) for name, c in totals.items())
+        )
+        answer = _join_groups(answer, summed, keys, "inner")
+    return _direct(ordinary, keys, "__v", out, lower, totals).unionByName(answer)
 
 
 def top_k_mean(df: DataFrame, keys: Sequence[str], value: str, out: str, k: int = 3) -> DataFrame:
@@ -232,3 +256,8 @@ def latest_value(
     """The value on the last row of each group, NULL if that row has none."""
     picked = F.max_by(named(value), F.struct(*map(named, order)))
     return df.groupBy(named(key)).agg(picked.alias(out))
+
+
+register("median", Aggregate("MEDIAN", execution="ranked", operator=partial(group_median, lower=False)))
+register("median_lower", Aggregate("MEDIAN", execution="ranked", empty=0.0, operator=group_median))
+register("top3", Aggregate("TOP3", execution="ranked", empty=0.0, operator=top_k_mean))

@@ -9,17 +9,30 @@ split a skewed partition of the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import named, within_trailing
-from creditloom.session import BROADCAST_ROWS, cut_lineage
+from creditloom.session import BROADCAST_BYTES, BROADCAST_ROWS, cut_lineage
 
 
-def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a materialised table for broadcast when it is known to hold few rows."""
-    return F.broadcast(table) if table.count() <= rows else table
+def broadcast_if_small(
+    table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark a materialised table for broadcast when it is known to hold few rows and few bytes.
+
+    Bytes are those of the values as text and 16 for each value.
+    """
+    width = reduce(
+        add,
+        (F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in table.columns),
+        F.lit(16 * len(table.columns)),
+    )
+    found = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
+    return F.broadcast(table) if found[0] <= rows and found[1] <= size else table
 
 
 def group_table(

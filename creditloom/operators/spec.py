@@ -18,9 +18,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.aggregates import Aggregate, lookup
+from creditloom.functions.aggregates import REGISTRY, Aggregate, lookup
 from creditloom.functions.scalar import named
-from creditloom.operators.grouped import HOT_GROUP_ROWS, group_median, top_k_mean
+from creditloom.operators.grouped import HOT_GROUP_ROWS
 from creditloom.operators.relational import broadcast_if_small
 from creditloom.session import cut_lineage
 
@@ -86,6 +86,18 @@ class FeatureSpec:
     segments: tuple[Segment, ...]
     vocabularies: tuple[Vocabulary, ...] = ()
 
+    def __post_init__(self) -> None:
+        # aggregates may be registered after the spec is declared; until then their name stands in
+        names = [
+            f"{segment.prefix}{column}_{REGISTRY[blk.fn].suffix if blk.fn in REGISTRY else blk.fn}"
+            for segment in self.segments
+            for blk in segment.blocks
+            for column in blk.columns
+        ]
+        repeated = sorted({n for n in names if names.count(n) > 1} | (set(names) & set(self.keys)))
+        if repeated:
+            raise ValueError(f"a spec gives these names more than once: {repeated}")
+
     def features(self) -> list[Feature]:
         return [
             Feature(
@@ -123,6 +135,11 @@ class _Compiler:
             for vocabulary in spec.vocabularies
             for flag, category in vocabulary.flags().items()
         }
+        self.numbers = {id(segment): i for i, segment in enumerate(spec.segments)}
+
+    def marker(self, segment: Segment) -> str:
+        """Column that says whether the group has rows in the segment."""
+        return f"__present_{self.numbers[id(segment)]}"
 
     def flag_columns(self) -> list[str]:
         return [f"coalesce({text}, false) AS {name}" for text, name in self.flags.items()]
@@ -177,7 +194,7 @@ class _Compiler:
 def _distinct_counts(
     base: DataFrame, spec: FeatureSpec, compiler: _Compiler, features: Sequence[Feature]
 ) -> list[DataFrame]:
-    """Distinct counts in two steps per column: (key, value) pairs, then pairs per key.
+    """Aggregates of distinct values in two steps: (key, value) pairs, then pairs per key.
 
     The pairs are pre-aggregated before both shuffles, so neither a hot key nor a hot value meets
     in one task as raw rows.
@@ -195,7 +212,8 @@ def _distinct_counts(
             .agg(F.lit(1).alias("__one"), *[F.max(x).alias(x) for x in flags])
         )
         counts = (
-            f"count({compiler.masked(f.segment, '__v')}) AS {quoted(f.name)}" for f in wanted
+            f"{f.aggregate.sql.format(compiler.masked(f.segment, '__v'))} AS {quoted(f.name)}"
+            for f in wanted
         )
         tables.append(pairs.groupBy(*map(quoted, spec.keys)).agg(*map(F.expr, counts)))
     return tables
@@ -206,11 +224,7 @@ def _ranked(
 ) -> DataFrame:
     flag = compiler.flag(feature.segment)
     rows = base if flag is None else base.where(flag)
-    if feature.fn == "top3":
-        return top_k_mean(rows, spec.keys, feature.column, feature.name, 3)
-    return group_median(
-        rows, spec.keys, feature.column, feature.name, lower=feature.fn == "median_lower"
-    )
+    return feature.aggregate.operator(rows, spec.keys, feature.column, feature.name)
 
 
 def cluster_by_key(
@@ -226,28 +240,19 @@ def cluster_by_key(
     rows of a key are scattered, every row becomes such a result on its way to the shuffle.
     Shuffling the rows themselves moves less, and leaves one partial result per key.
 
-    The group sizes are checked on ``members``, a table with the same keys (usually the narrow
-    source of ``rows``). A key with more than ``hot_rows`` rows is dealt out over as many pieces as
-    it needs by a hash of the row; its partial results meet in the final aggregation.
+    The group sizes are counted on ``members``, a table with the same keys (usually the narrow
+    source of ``rows``), in a job of its own. The rows of a key with more than ``hot_rows`` rows
+    stay where they are, whether they differ or not: they are many in each task, so the partial
+    results are few, and those meet in the final aggregation.
     """
     names = list(map(quoted, keys))
     sizes = members.groupBy(*names).agg(F.count(F.lit(1)).alias("__members"))
     hot = sizes.where(F.col("__members") > hot_rows).na.drop(subset=list(keys))
     if hot.isEmpty():
         return rows.repartition(*names)
-    pieces = F.ceil(F.col("__members") / hot_rows).cast("int")
-    hot = cut_lineage(hot.select(*names, pieces.alias("__pieces")))
-    piece = F.pmod(F.xxhash64(*map(named, rows.columns)), F.coalesce("__pieces", F.lit(1)))
-    return (
-        rows.join(broadcast_if_small(hot), list(keys), "left")
-        .withColumn("__piece", piece)
-        .repartition(*names, "__piece")
-        .drop("__pieces", "__piece")
-    )
-
-
-#: Specs with at least this many features bring the rows of a key together first.
-WIDE = 64
+    hot = broadcast_if_small(cut_lineage(hot.select(*names)))
+    ordinary = rows.join(hot, list(keys), "left_anti").repartition(*names)
+    return ordinary.unionByName(rows.join(hot, list(keys), "left_semi"))
 
 
 def build_features(
@@ -256,11 +261,15 @@ def build_features(
     *,
     members: DataFrame | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
+    cluster_from: int | None = 64,
 ) -> DataFrame:
     """One row per key with all features of the spec, in its column order.
 
-    Rows with a NULL key are left out. ``members`` is a table with the same rows per key as ``df``
-    that is cheaper to count, if there is one.
+    Rows with a NULL key are left out. A spec of ``cluster_from`` fused features or more shuffles its
+    rows by key before it aggregates (see :func:`cluster_by_key`); the result is the same. That
+    costs a counting pass over the keys when this is called, and pays where a partial result is
+    wider than the few rows it stands for; None never does it. ``members`` is a table with the same
+    rows per key as ``df`` that is cheaper to count, if there is one.
     """
     compiler = _Compiler(spec)
     features = spec.features()
@@ -276,12 +285,13 @@ def build_features(
         separate[feature.name] = feature
         present = compiler.present(feature.segment)
         if present is not None:
-            fused[f"__present_{feature.segment.prefix}"] = present
+            fused[compiler.marker(feature.segment)] = present
     # A spec of distinct or ranked features only still needs one row per key.
     fused = fused or {"__rows": "count(1)"}
     rows = base
     # Segments chosen by a group predicate reuse the aggregates of the whole table.
-    if sum(f.name in fused and f.segment.group is None for f in features) >= WIDE:
+    own = sum(f.name in fused and f.segment.group is None for f in features)
+    if cluster_from is not None and own >= cluster_from:
         counted = (df if members is None else members).where(has_key)
         rows = cluster_by_key(base, spec.keys, counted, hot_rows=hot_rows)
     result = rows.groupBy(*map(quoted, spec.keys)).agg(
@@ -301,7 +311,7 @@ def build_features(
         if name not in separate:
             return quoted(name)
         feature = separate[name]
-        marker = f"__present_{feature.segment.prefix}"
+        marker = compiler.marker(feature.segment)
         present = quoted(marker) if marker in fused else None
         return f"{compiler.settled(feature, quoted(name), present)} AS {quoted(name)}"
 

@@ -82,11 +82,16 @@ def features(
     rows = row_features(applications.where("SK_ID_CURR IS NOT NULL")).na.drop(
         subset=list(PEER_KEYS)
     )
-    spread = rows.groupBy(*PEER_KEYS).agg(
-        *(F.avg(c).alias(name) for name, c in MEANS.items()),
-        *(F.stddev_samp(c).alias(name) for name, c in SPREADS.items()),
+    totals = {
+        **{name: F.avg(c) for name, c in MEANS.items()},
+        **{name: F.stddev_samp(c) for name, c in SPREADS.items()},
+    }
+    peers = group_median(
+        rows,
+        PEER_KEYS,
+        "EXT_SOURCES_MEAN",
+        "GROUP_EXT_SOURCES_MEDIAN",
+        hot_rows=hot_rows,
+        totals=totals,
     )
-    middle = group_median(
-        rows, PEER_KEYS, "EXT_SOURCES_MEAN", "GROUP_EXT_SOURCES_MEDIAN", hot_rows=hot_rows
-    ).na.fill(0.0, ["GROUP_EXT_SOURCES_MEDIAN"])
-    return middle.join(spread, list(PEER_KEYS)).select(*COLUMNS)
+    return peers.na.fill(0.0, ["GROUP_EXT_SOURCES_MEDIAN"]).select(*COLUMNS)

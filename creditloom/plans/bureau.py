@@ -254,7 +254,8 @@ def loan_rows(bureau: DataFrame, balance: DataFrame) -> DataFrame:
 
 
 def features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
-    """One row per client."""
+    """One row per client. Loans without an id are left out: they cannot be told apart."""
+    bureau = bureau.where("SK_ID_BUREAU IS NOT NULL")
     wide = build_features(loan_rows(bureau, balance), SPEC, members=bureau)
     latest = latest_value(
         bureau.where("SK_ID_CURR IS NOT NULL"),

@@ -86,27 +86,23 @@ def row_features(payments: DataFrame) -> DataFrame:
         ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"],
         {"AMT_PAYMENT_GROUPED": F.sum("AMT_PAYMENT")},
     )
-    return (
-        paid.withColumns(
-            {
-                "PAYMENT_DIFFERENCE": difference("AMT_INSTALMENT", "AMT_PAYMENT_GROUPED"),
-                "PAYMENT_RATIO": safe_ratio("AMT_INSTALMENT", "AMT_PAYMENT_GROUPED"),
-                "PAID_OVER_AMOUNT": safe_ratio("AMT_PAYMENT", "AMT_INSTALMENT"),
-                "DPD": indicator(F.col("DAYS_ENTRY_PAYMENT") > F.col("DAYS_INSTALMENT")),
-                "DBD": indicator(F.col("DAYS_INSTALMENT") > F.col("DAYS_ENTRY_PAYMENT")),
-                "INSTALMENT_PAYMENT_RATIO": safe_ratio("AMT_PAYMENT", "AMT_INSTALMENT"),
-            }
-        )
-        .withColumns(
-            {
-                "PAID_OVER": indicator(F.col("PAID_OVER_AMOUNT") > 0),
-                "LATE_PAYMENT": indicator(F.col("DBD") > 0),
-                "DPD_7": indicator(F.col("DPD") >= 7),
-                "DPD_15": indicator(F.col("DPD") >= 15),
-            }
-        )
-        .withColumn("LATE_PAYMENT_RATIO", F.col("INSTALMENT_PAYMENT_RATIO") * F.col("LATE_PAYMENT"))
-        .withColumn("SIGNIFICANT_LATE_PAYMENT", indicator(F.col("LATE_PAYMENT_RATIO") > 0.05))
+    share = safe_ratio("AMT_PAYMENT", "AMT_INSTALMENT")
+    paid_on, due_on = F.col("DAYS_ENTRY_PAYMENT"), F.col("DAYS_INSTALMENT")
+    after, before = indicator(paid_on > due_on), indicator(paid_on < due_on)
+    weighed = share * before
+    return paid.withColumns(
+        {
+            "PAYMENT_DIFFERENCE": difference("AMT_INSTALMENT", "AMT_PAYMENT_GROUPED"),
+            "PAYMENT_RATIO": safe_ratio("AMT_INSTALMENT", "AMT_PAYMENT_GROUPED"),
+            "PAID_OVER": indicator(share > 0),
+            "DPD": after,
+            "DPD_7": indicator(after >= 7),
+            "DPD_15": indicator(after >= 15),
+            "DBD": before,
+            "LATE_PAYMENT": before,
+            "LATE_PAYMENT_RATIO": weighed,
+            "SIGNIFICANT_LATE_PAYMENT": indicator(weighed > 0.05),
+        }
     )
 
 

@@ -98,28 +98,20 @@ def features(balance: DataFrame, *, late_of_top: int = 1) -> DataFrame:
     """
     rows = row_features(balance)
     loans = loan_features(rows)
+    per_client = loans.groupBy("SK_ID_CURR").agg(*(F.sum(c).alias(c) for c in LOAN_SUMS))
+    # late months belong to the client of the loan's latest row
+    latest = loans.where("HAS_LATEST_ROW").select(
+        F.col("LATEST_CLIENT").alias("SK_ID_CURR"), "LATE_MONTHS"
+    )
     if late_of_top == 1:
-        late = F.when(
-            F.max(F.col("HAS_LATEST_ROW")),
-            F.coalesce(F.max(F.when(F.col("HAS_LATEST_ROW"), F.col("LATE_MONTHS"))), F.lit(0.0)),
-        )
-        per_client = loans.groupBy("SK_ID_CURR").agg(
-            *(F.sum(c).alias(c) for c in LOAN_SUMS), late.alias(LATE)
+        late = latest.groupBy("SK_ID_CURR").agg(
+            F.coalesce(F.max("LATE_MONTHS"), F.lit(0.0)).alias(LATE)
         )
     else:
-        per_client = loans.groupBy("SK_ID_CURR").agg(*(F.sum(c).alias(c) for c in LOAN_SUMS))
-        worst = top_k_mean(
-            loans.where("HAS_LATEST_ROW").drop("SK_ID_CURR").withColumnRenamed(
-                "LATEST_CLIENT", "SK_ID_CURR"
-            ),
-            ["SK_ID_CURR"],
-            "LATE_MONTHS",
-            LATE,
-            late_of_top,
-        )
-        per_client = per_client.join(worst, "SK_ID_CURR", "left")
+        late = top_k_mean(latest, ["SK_ID_CURR"], "LATE_MONTHS", LATE, late_of_top)
     return (
         build_features(rows, SPEC)
         .join(per_client, "SK_ID_CURR", "left")
+        .join(late, "SK_ID_CURR", "left")
         .select(*map(quoted, COLUMNS))
     )

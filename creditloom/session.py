@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-#: Largest number of rows a table may have (checked at run time) to be broadcast.
+#: Largest number of rows and bytes a table may have (checked at run time) to be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+
+#: Scratch folders of sessions in local mode that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = 8, app: str = "creditloom", **extra: str) -> SparkSession:
@@ -61,9 +65,12 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if named is not None:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="creditloom-")
+    application = context.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="creditloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -77,9 +84,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder below the shared one that holds all intermediate tables of this application."""
+    return f"{shared_folder(spark)}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name for intermediate tables, below the shared folder."""
-    return f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    """A new folder name for intermediate tables of this application.
+
+    What is written there is part of the plans of later results and stays until
+    :func:`release_scratch`, or until the application's folder is removed from outside.
+    """
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; results built on them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,23 +20,37 @@ def read_csv(
     *,
     sep: str = ",",
     by_position: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    """Read a CSV file with a header into the declared columns.
+    """Read CSV files with a header each into the declared columns.
 
-    The header decides where a column stands, so files may hold more columns than the schema, in
-    any order; only the first line is read to find out. A value that does not parse becomes NULL.
-    ``by_position`` ignores the header names and takes the columns as they come.
+    Each file's own header decides where its columns stand, so files may hold more columns than the
+    schema, in any order, also different ones. The first line of every file is looked at (a small
+    job for each, so this is for deliveries of files, not for millions of them), files of equal
+    headers are read together, and Spark compares header and layout once more while reading.
+    A value that does not parse becomes NULL, or fails the query if ``strict``. ``by_position``
+    ignores the header names and takes the columns as they come.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    reader = spark.read.option("header", True).option("sep", sep).option("mode", mode)
     if by_position:
         return reader.schema(schema).csv(path)
     declared = {field.name: field for field in schema.fields}
-    header = reader.csv(path).columns
-    missing = [name for name in declared if name not in header]
-    if missing:
-        raise ValueError(f"{path} lacks the columns {missing}")
-    layout = [declared.get(name, StructField(name, StringType(), True)) for name in header]
-    return reader.schema(StructType(layout)).csv(path).select(*(F.col(f"`{n}`") for n in declared))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        layouts.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    layouts = {header: files for header, files in layouts.items() if header}  # not empty files
+    if not layouts:
+        return spark.createDataFrame([], schema)
+    parts = []
+    for header, files in sorted(layouts.items()):
+        missing = [name for name in declared if name not in header]
+        if missing:
+            raise ValueError(f"{files[0]} lacks the columns {missing}")
+        layout = [declared.get(name, StructField(name, StringType(), True)) for name in header]
+        typed = reader.schema(StructType(layout)).option("enforceSchema", False).csv(files)
+        parts.append(typed.select(*(F.col(f"`{n}`") for n in declared)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_run_csv(
@@ -48,13 +64,3 @@ def read_run(spark: SparkSession, path: str, run_date: str) -> DataFrame:
     """Read one run of a Parquet table partitioned by run date; other runs are not opened."""
     return spark.read.parquet(path).where(F.col(RUN_DATE) == F.lit(run_date)).drop(RUN_DATE)
 
-
-def spread(table: DataFrame) -> DataFrame:
-    """Deal a table read in far fewer pieces than there are cores out to all of them.
-
-    A Parquet row group is read by one task, and a map-side aggregation over a broadcast join
-    stays in that task. Tables in more pieces are returned as they are, without a shuffle. Only for
-    freshly read tables: counting the pieces of a derived table could start a job.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if 4 * table.rdd.getNumPartitions() <= cores else table

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -116,6 +118,48 @@ def batch_counts(stream: DataFrame, folder: str, checkpoint: str) -> DataStreamW
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
 
 
+def submission_counter(
+    stream: DataFrame,
+    key: str,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    *,
+    trigger: str = TRIGGER,
+) -> DataStreamWriter:
+    """Every ``trigger``, one message with a fixed key and the number of records as text.
+
+    ``write`` gets the message of a batch and the batch's number, which is the same when a batch is
+    repeated after a failure. A batch without records sends nothing.
+    """
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.agg(F.count(F.lit(1)).alias("records")).where("records > 0")
+        write(as_messages(counted, key, "records"), batch_id)
+
+    return (
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(processingTime=trigger)
+        .foreachBatch(send)
+    )
+
+
+def message_files(folder: str) -> Callable[[DataFrame, int], None]:
+    """Messages as Parquet files; a repeated batch replaces its own."""
+    return lambda messages, batch_id: messages.write.mode("overwrite").parquet(
+        f"{folder}/batch_id={batch_id}"
+    )
+
+
+def message_topic(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
+    """Messages to a Kafka topic, at least once. Needs the Kafka connector package."""
+    return lambda messages, batch_id: (
+        messages.write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )
+
+
 def latest_per_window(spark: SparkSession, folder: str) -> DataFrame:
     """The last count written for every window by :func:`to_batches` in update mode."""
     last = Window.partitionBy("window_start").orderBy(F.col("batch_id").desc())

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.aggregates import ratio_of_sums
-from creditloom.functions.scalar import one_hot
+from creditloom.functions.aggregates import Aggregate, ratio_of_sums, register
+from creditloom.functions.scalar import named, one_hot
 from creditloom.operators import grouped as g
 from creditloom.operators import relational as r
 from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
@@ -351,11 +353,8 @@ def agg_ratio_of_sums(t: Tables) -> DataFrame:
 )
 def agg_peer_group(t: Tables) -> DataFrame:
     rows = peer_rows(t).na.drop(subset=PEER_KEYS)
-    spread = rows.groupBy(*PEER_KEYS).agg(
-        F.avg("price").alias("price_mean"), sig(F.stddev_samp("price")).alias("price_std")
-    )
-    middle = g.group_median(rows, PEER_KEYS, "price", "price_median")
-    return middle.join(spread, PEER_KEYS)
+    totals = {"price_mean": F.avg("price"), "price_std": sig(F.stddev_samp("price"))}
+    return g.group_median(rows, PEER_KEYS, "price", "price_median", totals=totals)
 
 
 @query(
@@ -386,3 +385,30 @@ def agg_flag_share(t: Tables) -> DataFrame:
 def proj_rename_pattern(t: Tables) -> DataFrame:
     spec = _one_segment("CARD: (a, b)/c ", block("min", "price"), block("max", "price"))
     return build_features(_orders(t), spec)
+
+
+def _second_largest(rows: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
+    place = F.row_number().over(
+        Window.partitionBy(*map(named, keys)).orderBy(named(column).desc_nulls_last())
+    )
+    return rows.withColumn("__place", place).where("__place = 2").select(
+        *map(named, keys), named(column).alias(out)
+    )
+
+
+@query(
+    "agg_registered",
+    f"""SELECT o_custkey, second AS "ORD_price_SECOND", total AS "ORD_price_TOTAL"
+        FROM (SELECT o_custkey, CAST(sum(DISTINCT price) AS BIGINT) AS total
+              FROM ({_ORDERS_SQL}) GROUP BY o_custkey)
+        LEFT JOIN (SELECT o_custkey, price AS second FROM (
+                     SELECT o_custkey, price, row_number() OVER (
+                       PARTITION BY o_custkey ORDER BY price DESC NULLS LAST) AS place
+                     FROM ({_ORDERS_SQL})) WHERE place = 2) USING (o_custkey)""",
+)
+def agg_registered(t: Tables) -> DataFrame:
+    """Aggregates that a user adds: one by rank, one over distinct values."""
+    register("second", Aggregate("SECOND", execution="ranked", operator=_second_largest))
+    register("distinct_sum", Aggregate("TOTAL", "sum({})", execution="distinct"))
+    spec = _one_segment("ORD_", block("second", "price"), block("distinct_sum", "price"))
+    return build_features(_orders(t), spec)

@@ -24,8 +24,12 @@ CUSTOMER = StructType(
 
 @query("src_csv_scan", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")
 def src_csv_scan(t: Tables) -> DataFrame:
+    """Two deliveries in one folder, with their columns in different orders."""
     folder = scratch_folder(t.spark) + "/customer"
-    t.customer.write.mode("overwrite").option("header", True).csv(folder)
+    backwards = [f"`{name}`" for name in reversed(t.customer.columns)]
+    for part, columns in enumerate((["*"], backwards)):
+        rows = t.customer.where(f"c_custkey % 2 = {part}").selectExpr(*columns)
+        rows.coalesce(1).write.mode("append").option("header", True).csv(folder)
     return tables.read_csv(t.spark, folder, CUSTOMER)
 
 
@@ -83,7 +87,9 @@ def sink_partition_overwrite(t: Tables) -> DataFrame:
 def sink_keyed_upsert(t: Tables) -> DataFrame:
     root = scratch_folder(t.spark) + "/published"
     clients = t.customer.select("c_custkey", "c_acctbal")
-    first = clients.withColumn("version", F.lit(1))
+    # the first batch has keys twice, with an older version
+    older = clients.withColumn("c_acctbal", F.lit(0.0)).withColumn("version", F.lit(0))
+    first = clients.withColumn("version", F.lit(1)).unionByName(older)
     changed = clients.where("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
     added = t.supplier.select(
         (F.col("s_suppkey") + 1_000_000_000).alias("c_custkey"),
@@ -91,5 +97,5 @@ def sink_keyed_upsert(t: Tables) -> DataFrame:
     )
     second = changed.unionByName(added).withColumn("version", F.lit(2))
     sinks.publish(first, root, ["c_custkey"], "version", snapshot="a")
-    sinks.publish(second, root, ["c_custkey"], "version", snapshot="b", previous="a")
-    return t.spark.read.parquet(f"{root}/snapshot=b")
+    sinks.publish(second, root, ["c_custkey"], "version", snapshot="b")
+    return sinks.read_published(t.spark, root)

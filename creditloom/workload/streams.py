@@ -72,3 +72,21 @@ def stream_kv_sink(t: Tables) -> DataFrame:
     )
     submissions.run_until_drained(writer)
     return t.spark.read.parquet(f"{scratch}/out")
+
+
+@query(
+    "stream_submission_counter",
+    "SELECT 'application_submit' AS key, count(*) AS submitted FROM events",
+)
+def stream_submission_counter(t: Tables) -> DataFrame:
+    """Counts of batches as messages; their values, added up, do not depend on the batches."""
+    scratch = scratch_folder(t.spark)
+    writer = submissions.submission_counter(
+        _events(t),
+        "application_submit",
+        submissions.message_files(f"{scratch}/out"),
+        f"{scratch}/state",
+    )
+    submissions.run_until_drained(writer)
+    messages = t.spark.read.parquet(f"{scratch}/out")
+    return messages.groupBy("key").agg(F.sum(F.col("value").cast("bigint")).alias("submitted"))

@@ -78,3 +78,23 @@ def test_lower_median_of_even_groups_is_the_lower_middle(spark):
     assert g.group_median(frame, ["k"], "v", "m").first().m == 2.0
     assert g.group_median(frame, ["k"], "v", "m", lower=False).first().m == 2.5
     assert math.isclose(g.group_median(frame, ["k"], "v", "m", hot_rows=1).first().m, 2.0)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 5_000_000, 10])
+def test_median_and_totals_in_one_pass(spark, capsys, hot_rows):
+    from pyspark.sql import functions as F
+
+    frame = spark.range(200).selectExpr("IF(id % 3 = 0, 1, id % 40) AS k", "id * 7 % 101 AS v")
+    totals = {"mean": F.avg("v"), "rows": F.count("v")}
+    out = g.group_median(frame, ["k"], "v", "m", hot_rows=hot_rows, totals=totals)
+    if hot_rows != 10:
+        out.explain()
+        assert capsys.readouterr().out.count("Exchange") == 1
+    groups = {}
+    for r in frame.collect():
+        groups.setdefault(r.k, []).append(r.v)
+    for r in out.collect():
+        values = sorted(groups.pop(r.k))
+        assert (r.m, r.rows) == (values[(len(values) - 1) // 2], len(values))
+        assert math.isclose(r["mean"], sum(values) / len(values))
+    assert not groups

@@ -358,3 +358,33 @@ def test_latest_loan_does_not_depend_on_partitioning(spark):
         )
         assert picked.first().y == 39.0
     assert not math.isnan(picked.first().y)
+
+
+def test_bureau_loans_without_an_id_do_not_count(spark):
+    from creditloom import schemas
+    from creditloom.plans import bureau
+
+    def loan(**values):
+        return tuple(values.get(f.name) for f in schemas.TABLES["bureau"].fields)
+
+    rows = [
+        loan(SK_ID_CURR=1, SK_ID_BUREAU=5, DAYS_CREDIT=-9, AMT_CREDIT_SUM=10.0, AMT_CREDIT_MAX_OVERDUE=50.0),
+        loan(SK_ID_CURR=1, DAYS_CREDIT=-1, AMT_CREDIT_SUM=10.0, AMT_CREDIT_MAX_OVERDUE=10.0),
+    ]
+    loans = spark.createDataFrame(rows, schemas.TABLES["bureau"])
+    history = spark.createDataFrame([], schemas.TABLES["bureau_balance"])
+    row = bureau.features(loans, history).first()
+    assert (row.BUREAU_AMT_CREDIT_SUM_SUM, row[bureau.LATEST]) == (10.0, 50.0)
+
+
+@pytest.mark.parametrize("late_of_top", [1, 3])
+def test_late_months_go_to_the_client_of_the_latest_row(spark, late_of_top):
+    from creditloom import schemas
+    from creditloom.plans import pos_cash
+
+    def month(**values):
+        return tuple(values.get(f.name) for f in schemas.TABLES["pos_cash_balance"].fields)
+
+    rows = [month(SK_ID_PREV=3, MONTHS_BALANCE=-2, SK_DPD=1), month(SK_ID_PREV=3, SK_ID_CURR=1, MONTHS_BALANCE=-1, SK_DPD=1)]
+    months = spark.createDataFrame(rows, schemas.TABLES["pos_cash_balance"])
+    assert pos_cash.features(months, late_of_top=late_of_top).first().LATE_PAYMENT_SUM == 2.0

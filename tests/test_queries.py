@@ -5,8 +5,10 @@ import oracle
 import pytest
 from conftest import SMALL
 
-QUERIES = entry_points.queries()
-STATEMENTS = entry_points.oracle_sql()
+from creditloom import workload
+
+QUERIES = workload.callables()
+STATEMENTS = workload.statements()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def connection():
 def test_every_query_has_its_sql():
     assert sorted(QUERIES) == sorted(STATEMENTS)
     assert len(QUERIES) >= 70
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(STATEMENTS) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

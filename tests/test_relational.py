@@ -130,3 +130,12 @@ def test_a_hot_loan_is_split_across_tasks(spark, capsys):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes",
         ):
             spark.conf.unset(name)
+
+
+def test_broadcast_looks_at_rows_and_bytes(spark):
+    from creditloom.operators.relational import broadcast_if_small
+
+    table = cut_lineage(spark.range(100).selectExpr("id", "repeat('x', 100) AS s"))
+    hinted = lambda **limits: "broadcast" in broadcast_if_small(table, **limits)._jdf.queryExecution().logical().toString().lower()
+    assert hinted() and not hinted(rows=99) and not hinted(size=10_000)
+    assert broadcast_if_small(table.where("id < 0")).count() == 0

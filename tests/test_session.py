@@ -11,6 +11,7 @@ class Conf(dict):
 class Context:
     def __init__(self, master, checkpoint=None):
         self.master, self.checkpoint, self.conf = master, checkpoint, Conf()
+        self.applicationId = "app-1"
 
     def getConf(self):
         return self.conf
@@ -46,8 +47,9 @@ def test_the_folder_named_by_the_cluster_is_used():
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_folder(Session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.scratch_folder(Session(master))
     assert session.shared_folder(Session("yarn", checkpoint="s3://x/y")) == "s3://x/y"
 
 
@@ -64,3 +66,15 @@ def test_written_and_cut_tables_keep_rows_and_types(spark):
         assert table.dtypes == frame.dtypes
         assert table.collect() == table.collect()
         assert table.count() == 100
+
+
+def test_scratch_tables_lie_together_and_can_be_released(spark):
+    import os
+
+    table = session.written(spark.range(3))
+    root = session.scratch_root(spark).removeprefix("file:")
+    assert table.inputFiles()[0].removeprefix("file://").startswith(root)
+    assert session.scratch_folder(spark).startswith(session.scratch_root(spark))
+    session.release_scratch(spark)
+    assert not os.path.exists(root)
+    assert session.written(spark.range(3)).count() == 3

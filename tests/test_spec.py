@@ -162,9 +162,66 @@ def test_wide_specs_survive_a_hot_client(spark, capsys, hot_rows):
     spec = FeatureSpec(("client",), (Segment("X_", (*blocks, block("nunique", "c0"))),))
     result = build_features(frame, spec, hot_rows=hot_rows)
     result.explain()
-    assert ("__piece" in capsys.readouterr().out) is (hot_rows == 4)
+    assert ("LeftAnti" in capsys.readouterr().out) is (hot_rows == 4)
     fused = {r.client: r for r in result.collect()}
     branches = branch_features(frame, spec).collect()
     assert len(fused) == len(branches) == frame.select("client").distinct().count()
     for branch in branches:
         assert all(same(branch[c], fused[branch.client][c]) for c in spec.names())
+
+
+def test_equal_rows_of_a_hot_key_stay_spread(spark):
+    from pyspark.sql import functions as F
+
+    from creditloom.operators.spec import cluster_by_key
+
+    rows = spark.range(2000, numPartitions=4).select(F.lit(1).alias("k"), F.lit(2.0).alias("v"))
+    dealt = cluster_by_key(rows, ["k"], rows, hot_rows=100)
+    counts = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 2000 and max(counts) <= 500
+
+
+def test_clustering_can_be_left_out(spark, capsys):
+    blocks = (block("mean", *(f"c{i}" for i in range(70))),)
+    frame = spark.range(10).selectExpr("id AS k", *(f"id AS c{i}" for i in range(70)))
+    spec = FeatureSpec(("k",), (Segment("", blocks),))
+    for bound, clustered in ((64, True), (None, False), (71, False)):
+        build_features(frame, spec, cluster_from=bound).explain()
+        assert ("REPARTITION_BY_COL" in capsys.readouterr().out) is clustered
+
+
+def test_names_must_differ():
+    with pytest.raises(ValueError, match="X_v_MEAN"):
+        FeatureSpec(("k",), (Segment("X_", (block("mean", "v"),)), Segment("X_", (block("mean", "v"),), rows="f")))
+    with pytest.raises(ValueError, match="v_MEAN"):
+        FeatureSpec(("v_MEAN",), (Segment("", (block("mean", "v"),)),))
+
+
+def test_segments_may_share_a_prefix(spark):
+    rows = [(1, 0, 4.0), (2, 1, 9.0)]
+    spec = FeatureSpec(
+        ("k",),
+        (
+            Segment("X_", (block("nunique", "v"),), rows="f = 1"),
+            Segment("X_", (block("median_lower", "v"),), rows="f = 0"),
+        ),
+    )
+    result = build_features(spark.createDataFrame(rows, "k int, f int, v double"), spec)
+    assert {r.k: (r.X_v_NUNIQUE, r.X_v_MEDIAN) for r in result.collect()} == {1: (None, 4.0), 2: (1, None)}
+
+
+def test_registered_aggregates_are_dispatched(spark):
+    from pyspark.sql import functions as F
+
+    from creditloom.functions.aggregates import Aggregate, register
+
+    def second(rows, keys, column, out):
+        return rows.groupBy(*keys).agg(F.get(F.sort_array(F.collect_list(column), False), F.lit(1)).alias(out))
+
+    register("test_second", Aggregate("SECOND", execution="ranked", operator=second))
+    spec = FeatureSpec(("k",), (Segment("", (block("test_second", "v"),)),))
+    frame = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 9.0)], "k int, v double")
+    assert build_features(frame, spec).first().v_SECOND == 2.0
+    for wrong in ({"execution": "ranked"}, {"execution": "sorted", "sql": "max({})"}, {}):
+        with pytest.raises(ValueError):
+            Aggregate("X", **wrong)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql.types import LongType, StructField, StructType
 
 from creditloom import schemas
 from creditloom.sources import sinks, tables
@@ -62,10 +63,50 @@ def test_snapshots_merge_and_repeat(spark, folder):
     second = spark.createDataFrame([(1, "A", 2), (2, "stale", 4), (3, "C", 1), (4, "D", 2)], schema)
     sinks.publish(first, root, ["k"], "version", snapshot="1")
     for _ in range(2):
-        sinks.publish(second, root, ["k"], "version", snapshot="2", previous="1")
-    rows = spark.read.parquet(f"{root}/snapshot=2").collect()
+        sinks.publish(second, root, ["k"], "version", snapshot="2")
+    rows = sinks.read_published(spark, root).collect()
     assert sorted((r.k, r.x) for r in rows) == [(1, "A"), (2, "b"), (3, "C"), (4, "D")]
-    assert spark.read.parquet(f"{root}/snapshot=1").count() == 3
+    before = sinks.read_published(spark, root, "1").collect()
+    assert sorted((r.k, r.x) for r in before) == [(1, "a"), (2, "b"), (3, "c")]
+    with pytest.raises(ValueError, match="nothing"):
+        sinks.read_published(spark, f"{folder}/elsewhere")
+
+
+def test_a_batch_is_merged_with_itself_and_ties_are_definite(spark, folder):
+    schema = "k int, x string, version int"
+    batch = [(1, "old", 1), (1, "new", 2), (2, "p", 3), (2, "q", 3)]
+    seen = set()
+    for i, rows in enumerate((batch, batch[::-1])):
+        root = f"{folder}/published{i}"
+        frame = spark.createDataFrame(rows, schema).repartition(3 - i)
+        sinks.publish(frame, root, ["k"], "version", snapshot="1")
+        seen.add(tuple(sorted((r.k, r.x) for r in sinks.read_published(spark, root).collect())))
+    assert len(seen) == 1 and seen.pop()[0] == (1, "new")
+
+
+def test_only_the_buckets_of_a_batch_are_written(spark, folder):
+    import os
+
+    root = f"{folder}/published"
+    frame = spark.range(200).selectExpr("id AS k", "1 AS version")
+    sinks.publish(frame, root, ["k"], "version", snapshot="1", buckets=16)
+    sinks.publish(frame.where("k = 7").withColumn("version", frame.version + 1), root, ["k"], "version", snapshot="2", buckets=16)
+    second = [d for d in os.listdir(root) if os.path.exists(f"{root}/{d}/snapshot=2")]
+    assert len(second) == 1
+    assert sinks.read_published(spark, root).agg({"version": "sum"}).first()[0] == 201
+
+
+def test_every_file_has_its_own_header(spark, folder):
+    write(f"{folder}/a.csv", "id,x\n1,10\n")
+    write(f"{folder}/b.csv", "x,id\n20,2\n")
+    write(f"{folder}/c.csv", "id,y,x\n3,z,30\n")
+    schema = StructType([StructField("id", LongType()), StructField("x", LongType())])
+    frame = tables.read_csv(spark, folder, schema)
+    assert sorted(map(tuple, frame.collect())) == [(1, 10), (2, 20), (3, 30)]
+    write(f"{folder}/d.csv", "id,x\n4,oops\n")
+    assert (4, None) in map(tuple, tables.read_csv(spark, folder, schema).collect())
+    with pytest.raises(Exception, match="oops|MALFORMED"):
+        tables.read_csv(spark, folder, schema, strict=True).collect()
 
 
 def test_filters_and_columns_reach_the_scan(spark, capsys):

@@ -55,3 +55,15 @@ def test_messages_have_a_fixed_key_and_text_values(spark):
     messages = submissions.as_messages(frame, "submitted", "records")
     assert messages.schema.simpleString() == SUBMISSION_STREAM.simpleString()
     assert sorted(map(tuple, messages.collect()), key=str) == [("submitted", "5"), ("submitted", None)]
+
+
+def test_the_counter_sends_one_message_for_each_batch_with_records(spark, inbox, tmp_path):
+    writer = submissions.submission_counter(
+        source(spark, inbox),
+        "submitted",
+        submissions.message_files(f"{tmp_path}/out"),
+        f"{tmp_path}/state",
+    )
+    submissions.run_until_drained(writer)
+    rows = spark.read.parquet(f"{tmp_path}/out").select("key", "value").collect()
+    assert sorted(map(tuple, rows)) == [("submitted", "2"), ("submitted", "3")]
