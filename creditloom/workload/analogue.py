@@ -82,7 +82,8 @@ def _application(_: Offsets) -> dict[str, str]:
 
 def _bureau(d: Offsets) -> dict[str, str]:
     return {
-        "SK_ID_BUREAU": "o_orderkey",
+        # loans without an id, which do not count
+        "SK_ID_BUREAU": "CASE WHEN o_orderkey % 41 <> 7 THEN o_orderkey END",
         "SK_ID_CURR": _CLIENT,
         "CREDIT_ACTIVE": "CASE WHEN o_orderstatus = 'F' THEN 'Closed' "
         "WHEN o_orderstatus = 'O' THEN 'Active' WHEN o_orderkey % 3 = 0 THEN 'Sold' "
@@ -145,7 +146,10 @@ def _credit_card_balance(d: Offsets) -> dict[str, str]:
 def _pos_cash_balance(d: Offsets) -> dict[str, str]:
     return {
         "SK_ID_PREV": "l_orderkey",
-        "SK_ID_CURR": _CLIENT,
+        # loans that change their client, to and from an unknown one, too
+        "SK_ID_CURR": "CASE WHEN o_orderkey % 29 = 3 THEN "
+        "CASE l_linenumber % 3 WHEN 0 THEN o_custkey WHEN 1 THEN o_custkey % 50 + 1 END "
+        f"ELSE {_CLIENT} END",
         "MONTHS_BALANCE": d.months("l_shipdate"),
         "SK_DPD": "CASE WHEN l_partkey % 19 = 0 THEN NULL WHEN l_returnflag = 'R' "
         "THEN l_linenumber ELSE 0 END",
