@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import map_batches, record_batch, texts_of
+from creditloom.llm.common import record_batch, texts_of
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
