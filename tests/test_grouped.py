@@ -98,3 +98,18 @@ def test_median_and_totals_in_one_pass(spark, capsys, hot_rows):
         assert (r.m, r.rows) == (values[(len(values) - 1) // 2], len(values))
         assert math.isclose(r["mean"], sum(values) / len(values))
     assert not groups
+
+
+def test_latest_value_is_hashed_where_the_order_fits(spark, capsys):
+    low, high = -(2**63), 2**63 - 1
+    rows = [
+        (1, -5, 7, 1.0), (1, -5, 9, 2.0), (1, None, high, 3.0), (2, None, None, 4.0), (2, None, low, 5.0),
+        (3, 2**31 - 1, low, 6.0), (3, 2**31 - 1, None, 7.0), (4, -(2**31), high, None), (4, None, high, 8.0),
+    ]
+    frame = spark.createDataFrame(rows, "k int, day int, id long, v double")
+    out = g.latest_value(frame, "k", "v", ["day", "id"], "x")
+    assert {r.k: r.x for r in out.collect()} == {1: 2.0, 2: 5.0, 3: 6.0, 4: None}
+    out.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    text = frame.withColumn("day", frame.day.cast("string"))
+    assert {r.k: r.x for r in g.latest_value(text, "k", "v", ["day", "id"], "x").collect()}[1] == 2.0
