@@ -72,6 +72,7 @@ def _recent(prefix: str, days: int) -> Segment:
     )
 
 
+# The names and the order of the published columns.
 SPEC = FeatureSpec(
     keys=("SK_ID_CURR",),
     segments=(

@@ -24,6 +24,7 @@ def _active_within(months: int) -> Segment:
     )
 
 
+# The names and the order of the published columns.
 SPEC = FeatureSpec(
     keys=("SK_ID_CURR",),
     segments=(

@@ -10,6 +10,7 @@ from creditloom.functions.vocabulary import POS_CONTRACT_STATUS
 from creditloom.operators.grouped import top_k_mean
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 
+# The names and the order of the published columns.
 SPEC = FeatureSpec(
     keys=("SK_ID_CURR",),
     segments=(

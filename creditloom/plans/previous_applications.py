@@ -101,6 +101,7 @@ _FLAGS = tuple(
 )
 
 
+# The names and the order of the published columns.
 def build_spec(*, approved_as_recorded: bool = True) -> FeatureSpec:
     """The feature spec.
 
