@@ -15,8 +15,9 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _fold(folds: int) -> Column:
-    """The fold of a document, from the checksum of its id as text; null for a null id."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+    """The fold of a document, from the checksum of its id as text; -1 for a null id."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(checksum % folds, F.lit(-1))
 
 
 def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
