@@ -199,7 +199,8 @@ def drop_common_lines(
     spark = docs.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     texts = docs.select(body.alias("text"))
-    lines = texts.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0]
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n")))
+    lines = texts.agg(F.sum(breaks + 1)).first()[0]
     shape = Shape(int(lines or 0), bits_per_line, max_filter_bytes)
     bits = spark.sparkContext.broadcast(repeat_filter(texts, shape, min_key_chars))
 
@@ -222,7 +223,8 @@ def drop_common_lines(
         ]
     )
     # rows of equal text have equal lines to drop, so a digest of the text stands for the row
-    named = docs.select(body.alias("text"), F.col(doc_id).alias("id"), F.unhex(F.md5(body.cast("binary"))).alias("row"))
+    row_digest = F.unhex(F.md5(body.cast("binary")))
+    named = docs.select(body.alias("text"), F.col(doc_id).alias("id"), row_digest.alias("row"))
     suspects = map_batches(named, suspected, found_schema)
     frequent = written(
         suspects.groupBy("key")
@@ -237,9 +239,8 @@ def drop_common_lines(
         F.col(text).isNull().alias("was_null"),
     )
     if frequent.count() <= max_broadcast_keys:
-        short = map_batches(
-            frequent.select("key", "first"), _digests, T.StructType([T.StructField("key", T.BinaryType()), T.StructField("first", id_type)])
-        )
+        kinds = [T.StructField("key", T.BinaryType()), T.StructField("first", id_type)]
+        short = map_batches(frequent.select("key", "first"), _digests, T.StructType(kinds))
         table = {row.key: row.first for row in short.toLocalIterator()}
         known = spark.sparkContext.broadcast(table)
         source = docs.select(*carried)
@@ -248,13 +249,13 @@ def drop_common_lines(
         todo = (
             suspects.select("key", "row")
             .distinct()
-            .join(frequent.select("key", "first", F.xxhash64("key").alias("spread")).repartition("key"), "key")
+            .join(frequent.select("key", "first"), "key")
             .groupBy("row")
             .agg(F.collect_list(F.struct("key", "first")).alias("drops"))
             .withColumnRenamed("row", "digest")
         )
         source = (
-            docs.select(*carried, F.unhex(F.md5(body.cast("binary"))).alias("digest"))
+            docs.select(*carried, row_digest.alias("digest"))
             .join(todo, "digest", "left")
             .select("row", "id", "text", "was_null", "drops")
         )

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import language, licenses, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, topk, warc
+from creditloom.llm import (
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    simhash,
+    sql,
+    topk,
+    warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
