@@ -51,7 +51,8 @@ def run_job(
     job = JOBS[name]
     read = (tables.read_run_csv(spark, deliveries, table, run_date) for table in job.inputs)
     root = f"{out}/{name}"
-    sinks.write_run(job.features(*read).select(*(f"`{c}`" for c in job.columns)), f"{root}/features", run_date)
+    wide = job.features(*read).select(*(f"`{c}`" for c in job.columns))
+    sinks.write_run(wide, f"{root}/features", run_date)
     rows = tables.read_run(spark, f"{root}/features", run_date)
     sinks.export_csv(rows, f"{root}/export/{run_date}")
     versioned = rows.withColumn("run", F.lit(int(run_date)))
