@@ -277,8 +277,8 @@ def bucketed(prints: DataFrame, sets: Sequence[Sequence[int]]) -> DataFrame:
     return map_batches(prints, run, "fingerprint binary, bucket binary")
 
 
-def bucket_blocks(buckets: DataFrame, block: int) -> DataFrame:
-    """Blocks of fingerprints to be compared: arrays ``left`` and ``right``.
+def bucket_blocks(buckets: DataFrame, block: int, what: str = "fingerprint") -> DataFrame:
+    """Blocks of fingerprints to be compared: arrays ``left`` and ``right`` of the column ``what``.
 
     Buckets of one are left out. A bucket of up to ``block`` is one row with ``right`` null;
     a larger one is dealt by hash into blocks, and each pair of blocks is a row.
@@ -290,14 +290,14 @@ def bucket_blocks(buckets: DataFrame, block: int) -> DataFrame:
         .withColumn("own", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
-    side = F.when(F.col("own") <= F.col("other"), F.col("fingerprint"))
+    side = F.when(F.col("own") <= F.col("other"), F.col(what))
     return (
         dealt.groupBy(
             "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
         )
         .agg(
             F.collect_list(side).alias("left"),
-            F.collect_list(F.when(side.isNull(), F.col("fingerprint"))).alias("right"),
+            F.collect_list(F.when(side.isNull(), F.col(what))).alias("right"),
         )
         .select("left", F.when(F.col("i") != F.col("j"), F.col("right")).alias("right"))
     )
@@ -517,6 +517,90 @@ def _shortest_forest(wide: np.ndarray, side: np.ndarray | None, radius: int) ->
     return links
 
 
+#: Of rows as :func:`open_pairs` takes them: fingerprint, root, and partners that failed the check.
+Member = tuple[bytes, bytes, "list[bytes] | None"]
+
+
+def offered(
+    left: list[Member], right: list[Member], lane_radius: int, radius: int, most: int
+) -> tuple[list[tuple[int, int]], bool]:
+    """Unchecked pairs within both radii whose ends have different roots, and whether some were cut.
+
+    Every root offers its ``most`` nearest pairs. Rows of ``right`` count from the length of ``left``;
+    an empty ``right`` stands for pairs inside ``left``.
+    """
+    rows, first = left + right, len(left) if right else 0
+    names: dict[bytes, int] = {}
+    root = np.array([names.setdefault(r[1], len(names)) for r in rows])
+    wide = np.frombuffer(b"".join(r[0] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
+    wide = np.ascontiguousarray(wide).view(np.uint64)
+    one, two = slice(0, len(left)), slice(first, len(rows))
+    near = np.bitwise_count(wide[one, None, 0] ^ wide[None, two, 0]) <= lane_radius
+    i, j = np.nonzero(near & (root[one, None] != root[None, two]))
+    j = j + first
+    i, j = i[i < j], j[i < j]
+    distance = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64)
+    place = {r[0]: at for at, r in enumerate(rows)}
+    known = [
+        (min(at, place[other]) * len(rows) + max(at, place[other]))
+        for at, r in enumerate(rows)
+        for other in r[2] or ()
+        if other in place
+    ]
+    live = (distance <= radius) & ~np.isin(i * len(rows) + j, np.array(known, dtype=np.int64))
+    i, j, distance = i[live], j[live], distance[live]
+    order = np.argsort(distance, kind="stable")
+    i, j = i[order], j[order]
+    ends, edge = np.concatenate([root[i], root[j]]), np.tile(np.arange(len(i)), 2)
+    by = np.lexsort((edge, ends))
+    starts = np.flatnonzero(np.diff(ends[by], prepend=-1))
+    rank = np.arange(len(by)) - np.repeat(starts, np.diff(np.append(starts, len(by))))
+    chosen = np.unique(edge[by[rank < most]])
+    return list(zip(i[chosen].tolist(), j[chosen].tolist())), len(chosen) < len(i)
+
+
+def open_pairs(
+    members: DataFrame,
+    sets: Sequence[Sequence[int]],
+    radii: tuple[int, int],
+    most: int,
+    block_rows: int,
+) -> DataFrame:
+    """Candidates ``a``, ``b`` that join two roots and are not among the failed; ``more`` if some wait.
+
+    ``members`` have ``fingerprint``, ``root``, ``label`` (only rows of one label meet) and ``failed``.
+    """
+    buckets = (
+        bucketed(members.select("fingerprint"), sets)
+        .join(members, "fingerprint")
+        .select(
+            "fingerprint",
+            F.concat("bucket", "label").alias("bucket"),
+            F.struct("fingerprint", "root", "failed").alias("member"),
+        )
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for left, right in zip(*(c.to_pylist() for c in batch.columns)):
+                if not left or right == []:
+                    continue
+                left, right = ([tuple(r.values()) for r in part or []] for part in (left, right))
+                links, cut = offered(left, right, *radii, most)
+                everything = left + right
+                yield {
+                    "a": [everything[x][0] for x, _ in links],
+                    "b": [everything[y][0] for _, y in links],
+                    "more": [cut] * len(links),
+                }
+
+    blocks = bucket_blocks(buckets, block_rows, "member")
+    found = map_batches(blocks, run, "a binary, b binary, more boolean")
+    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.max("more").alias("more")
+    )
+
+
 def jaccard(left: str, right: str, words: int) -> float:
     """Similarity of the shingle sets of two texts."""
     a, b = (set(shingles(text, words)) for text in (left, right))
@@ -524,15 +608,72 @@ def jaccard(left: str, right: str, words: int) -> float:
 
 
 def verified(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links ``a``, ``b`` whose texts ``text_a``, ``text_b`` are similar enough, exactly."""
+    """``a``, ``b``, and ``passed`` if the texts ``text_a``, ``text_b`` are similar enough, exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             texts = zip(texts_of(batch.column("text_a")), texts_of(batch.column("text_b")))
-            kept = pa.array([jaccard(x, y, words) >= similarity for x, y in texts], pa.bool_())
-            yield {name: batch.column(name).filter(kept) for name in ("a", "b")}
+            passed = [jaccard(x, y, words) >= similarity for x, y in texts]
+            yield {"a": batch.column("a"), "b": batch.column("b"), "passed": passed}
+
+    return map_batches(pairs, run, "a binary, b binary, passed boolean")
 
-    return map_batches(pairs, run, "a binary, b binary")
+
+def similar_groups(
+    stored: DataFrame, words: int, sketch: Sketch, block_rows: int
+) -> DataFrame:
+    """``node``, ``root`` of the rows of ``stored(fingerprint, text)`` that are linked with another.
+
+    A first round checks a shortest spanning forest of each bucket. A link of it that fails may part
+    rows that other candidates join, so in further rounds the groups around failed links offer the
+    candidates between different components that are not checked yet: the nearest of each component,
+    eight times as many in each round, until no unchecked candidate joins two components.
+    """
+    sets = sketch.sets(stored.count())
+    radii = sketch.radius(WORD), sketch.radius(WORD * sketch.lanes)
+    texts = stored.select("fingerprint", "text")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        both = pairs.select("a", "b").join(
+            texts.select(F.col("fingerprint").alias("a"), F.col("text").alias("text_a")), "a"
+        ).join(texts.select(F.col("fingerprint").alias("b"), F.col("text").alias("text_b")), "b")
+        return written(verified(both, words, sketch.similarity))
+
+    blocks = bucket_blocks(bucketed(stored.select("fingerprint"), sets), block_rows)
+    found = compare_blocks(blocks, lambda parts: nearest_links(parts, *radii))
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    known, most = checked(written(pairs)), 8
+    while True:
+        roots = components(known.where("passed"))
+        ends = [
+            roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+            for end in ("a", "b")
+        ]
+        apart = written(
+            known.where(~F.col("passed"))
+            .join(ends[0], "a", "left")
+            .join(ends[1], "b", "left")
+            .withColumns({f"root_{end}": F.coalesce(f"root_{end}", end) for end in ("a", "b")})
+            .where("root_a <> root_b")
+        )
+        if apart.isEmpty():
+            return roots
+        # components that failed links would join: every candidate still open lies inside one label
+        labels = components(apart.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        failed = apart.groupBy(F.col("a").alias("fingerprint")).agg(F.collect_list("b").alias("failed"))
+        members = written(
+            stored.select("fingerprint")
+            .join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+            .withColumn("root", F.coalesce("root", "fingerprint"))
+            .join(labels.select(F.col("node").alias("root"), F.col("root").alias("label")), "root")
+            .join(failed, "fingerprint", "left")
+        )
+        offers = written(open_pairs(members, sets, radii, most, min(block_rows, 1024)))
+        if offers.isEmpty():
+            return roots
+        known, most = known.unionByName(checked(offers)), 8 * most
+        if offers.where("more").isEmpty():
+            return components(known.where("passed"))
 
 
 def one_of_each(
@@ -547,7 +688,8 @@ def one_of_each(
     """The rows of ``docs`` without near-duplicates: one row of each group of similar texts stays.
 
     Texts are linked when their sets of word shingles have a Jaccard similarity of at least
-    ``sketch.similarity``; candidates come from SimHash, and each link is checked on the texts. Of a
+    ``sketch.similarity``; candidates come from SimHash, each link is checked on the texts, and no
+    candidate between two of the groups found stays unchecked (:func:`similar_groups`). Of a
     group the row with the smallest id stays (null last; then the smallest content). Copies are
     merged within tasks before the shuffle. The rows that are left are stored by fingerprint, so
     that neither the check nor the removal moves all texts again.
@@ -575,18 +717,7 @@ def one_of_each(
         .saveAsTable(name)
     )
     stored = spark.table(name)
-    sets = sketch.sets(stored.count())
-    radius = sketch.radius(WORD), sketch.radius(WORD * sketch.lanes)
-    blocks = bucket_blocks(bucketed(stored.select("fingerprint"), sets), block_rows)
-    found = compare_blocks(blocks, lambda parts: nearest_links(parts, *radius))
-    candidates = written(
-        found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    texts = stored.select("fingerprint", "text")
-    pairs = candidates.join(
-        texts.select(F.col("fingerprint").alias("a"), F.col("text").alias("text_a")), "a"
-    ).join(texts.select(F.col("fingerprint").alias("b"), F.col("text").alias("text_b")), "b")
-    roots = components(written(verified(pairs, words, sketch.similarity)))
+    roots = similar_groups(stored, words, sketch, block_rows)
     orders = stored.select("fingerprint", "order").join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint"
     )

@@ -160,3 +160,41 @@ def test_large_buckets_are_cut_into_blocks(spark):
     assert len(rows) == 55
     assert sum(len(r.left) for r in rows if r.right is None) == 1000
     assert max(len(r.left) + len(r.right or []) for r in rows) < 400
+
+
+def edited_copies(seed, count=40, words=304, edits=7):
+    """Variants of one text whose five-word shingle sets have similarities around 0.8."""
+    rng = random.Random(seed)
+    base = [f"s{seed}w{k}" for k in range(words)]
+    out = []
+    for v in range(count):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.choice([edits - 4, edits - 2, edits])):
+            copy[at] = f"v{v}x{at}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_pairs_behind_a_failed_link_are_checked_too(spark):
+    """A forest of the candidates loses groups here: links of it fail that other pairs stand in for."""
+    copies = [text for seed in range(12) for text in edited_copies(seed)]
+    rows = [(i, text, "en", "a") for i, text in enumerate(copies)]
+    grams, union = [sets_of(r[1]) for r in rows], Union()
+    for family in range(0, len(rows), 40):
+        for a in range(family, family + 40):
+            for b in range(family, a):
+                if len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.8:
+                    union.join(b, a)
+    out = simhash.one_of_each(edge.documents(spark, rows))
+    assert {r.doc_id for r in out.collect()} == {union.find(i) for i in range(len(rows))}
+
+
+def test_offers_leave_out_checked_pairs_and_pairs_of_one_root():
+    prints = [bytes([0] * 31 + [k]) for k in (0, 1, 3, 7)]
+    rows = [(prints[0], b"x", [prints[1]]), (prints[1], b"y", None), (prints[2], b"y", None)]
+    assert simhash.offered(rows, [], 2, 2, 9) == ([(0, 2)], False)
+    far = [(prints[3], b"z", None)]
+    links, cut = simhash.offered(rows, far, 9, 9, 9)
+    assert (sorted(links), cut) == ([(0, 3), (1, 3), (2, 3)], False)
+    links, cut = simhash.offered(rows, far, 9, 9, 1)
+    assert (2, 3) in links and cut
