@@ -12,8 +12,8 @@ Only distinct fingerprints are compared. A bucket gives a spanning forest of its
 pairs; large buckets are split into blocks that meet pairwise. Components are joined from there.
 
 :func:`near_duplicates` links fingerprints and misses none within its radius. :func:`one_of_each`
-links texts by the Jaccard similarity of their shingle sets: wide fingerprints propose pairs, each
-is checked exactly, and a pair at the lowest similarity is proposed with a stated probability.
+links texts by the Jaccard similarity of their shingle sets: wide fingerprints of the sets (repeats
+counted once) propose pairs, each is checked exactly, and a pair at the lowest similarity is proposed with a stated probability.
 
 Defined results: a null, empty or blank text has the fingerprint zero and is linked like any other;
 repeated rows and ties in ids share a component; null ids take part, and a component without any id
@@ -22,6 +22,7 @@ has a null name. Other columns are ignored here.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import uuid
@@ -101,17 +102,26 @@ def _column_sums(bits: np.ndarray) -> np.ndarray:
     return total
 
 
+def set_fingerprint(text: str, words: int, lanes: int, seed: int = 42) -> bytes:
+    """The fingerprint of the set of shingles of a text, and a 128-bit digest of that set.
+
+    A shingle counts once, however often it stands in the text, as in the Jaccard similarity. The
+    digest keeps texts apart whose bits agree by chance; texts of equal sets have all bytes equal.
+    """
+    parts, digest = sorted(set(shingles(text, words))), xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(p, seed) for p in parts), dtype=np.uint64, count=len(parts))
+    # no shingle holds a line feed
+    return majority(hashes, lanes) + hashlib.blake2b(b"\n".join(parts), digest_size=16).digest()
+
+
 def with_fingerprints(rows: DataFrame, words: int, lanes: int) -> DataFrame:
-    """``rows``, which have a string ``text``, with its ``fingerprint`` (8 bytes for each lane)."""
+    """``rows``, which have a string ``text``, with its ``fingerprint`` by :func:`set_fingerprint`."""
     schema = T.StructType([*rows.schema, T.StructField("fingerprint", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [
-                majority(shingle_hashes(value, words), lanes)
-                for value in texts_of(batch.column("text"))
-            ]
+            prints = [set_fingerprint(v, words, lanes) for v in texts_of(batch.column("text"))]
             same = {name: batch.column(name) for name in batch.schema.names}
             yield record_batch({**same, "fingerprint": prints}, arrow)
 
@@ -470,10 +480,13 @@ def close_pairs(blocks: list[Block], radius: int) -> tuple[np.ndarray, np.ndarra
     return i[i < j], j[i < j]
 
 
-def nearest_links(blocks: list[Block], lane_radius: int, radius: int) -> Iterator[Links]:
+def nearest_links(
+    blocks: list[Block], lane_radius: int, radius: int, lanes: int
+) -> Iterator[Links]:
     """For each block, links of a shortest spanning forest over the pairs within both radii.
 
-    The first 64 bits are compared bit-sliced; only pairs that pass are compared in full. Shortest
+    The first 64 bits are compared bit-sliced; only pairs that pass are compared in full, which is
+    in the bytes of ``lanes``. Shortest
     links are the ones most likely to stand an exact check. Across two blocks, rows of the second
     count from the length of the first.
     """
@@ -481,6 +494,7 @@ def nearest_links(blocks: list[Block], lane_radius: int, radius: int) -> Iterato
     short = [tuple(None if p is None else p[:, :lane] for p in block) for block in blocks]
     i, j = close_pairs(short, lane_radius)
     wide = np.concatenate([p for block in blocks for p in block if p is not None])
+    wide = wide[:, : lane * lanes]
     wide = np.ascontiguousarray(wide).view(np.uint64)
     near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1) <= radius
     linked = np.unique(np.concatenate([i[near], j[near]]))
@@ -522,7 +536,12 @@ Member = tuple[bytes, bytes, "list[bytes] | None"]
 
 
 def offered(
-    left: list[Member], right: list[Member], lane_radius: int, radius: int, most: int
+    left: list[Member],
+    right: list[Member],
+    lane_radius: int,
+    radius: int,
+    lanes: int,
+    most: int,
 ) -> tuple[list[tuple[int, int]], bool]:
     """Unchecked pairs within both radii whose ends have different roots, and whether some were cut.
 
@@ -533,7 +552,7 @@ def offered(
     names: dict[bytes, int] = {}
     root = np.array([names.setdefault(r[1], len(names)) for r in rows])
     wide = np.frombuffer(b"".join(r[0] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
-    wide = np.ascontiguousarray(wide).view(np.uint64)
+    wide = np.ascontiguousarray(wide[:, : WORD // 8 * lanes]).view(np.uint64)
     one, two = slice(0, len(left)), slice(first, len(rows))
     near = np.bitwise_count(wide[one, None, 0] ^ wide[None, two, 0]) <= lane_radius
     i, j = np.nonzero(near & (root[one, None] != root[None, two]))
@@ -562,12 +581,13 @@ def offered(
 def open_pairs(
     members: DataFrame,
     sets: Sequence[Sequence[int]],
-    radii: tuple[int, int],
+    measures: tuple[int, int, int],
     most: int,
     block_rows: int,
 ) -> DataFrame:
     """Candidates ``a``, ``b`` that join two roots and are not among the failed; ``more`` if some wait.
 
+    ``measures`` are both radii and the number of lanes.
     ``members`` have ``fingerprint``, ``root``, ``label`` (only rows of one label meet) and ``failed``.
     """
     buckets = (
@@ -586,7 +606,7 @@ def open_pairs(
                 if not left or right == []:
                     continue
                 left, right = ([tuple(r.values()) for r in part or []] for part in (left, right))
-                links, cut = offered(left, right, *radii, most)
+                links, cut = offered(left, right, *measures, most)
                 everything = left + right
                 yield {
                     "a": [everything[x][0] for x, _ in links],
@@ -630,7 +650,7 @@ def similar_groups(
     eight times as many in each round, until no unchecked candidate joins two components.
     """
     sets = sketch.sets(stored.count())
-    radii = sketch.radius(WORD), sketch.radius(WORD * sketch.lanes)
+    measures = sketch.radius(WORD), sketch.radius(WORD * sketch.lanes), sketch.lanes
     texts = stored.select("fingerprint", "text")
 
     def checked(pairs: DataFrame) -> DataFrame:
@@ -640,7 +660,7 @@ def similar_groups(
         return written(verified(both, words, sketch.similarity))
 
     blocks = bucket_blocks(bucketed(stored.select("fingerprint"), sets), block_rows)
-    found = compare_blocks(blocks, lambda parts: nearest_links(parts, *radii))
+    found = compare_blocks(blocks, lambda parts: nearest_links(parts, *measures))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known, most = checked(written(pairs)), 8
     while True:
@@ -668,7 +688,7 @@ def similar_groups(
             .join(labels.select(F.col("node").alias("root"), F.col("root").alias("label")), "root")
             .join(failed, "fingerprint", "left")
         )
-        offers = written(open_pairs(members, sets, radii, most, min(block_rows, 1024)))
+        offers = written(open_pairs(members, sets, measures, most, min(block_rows, 1024)))
         if offers.isEmpty():
             return roots
         known, most = known.unionByName(checked(offers)), 8 * most
@@ -690,8 +710,8 @@ def one_of_each(
     Texts are linked when their sets of word shingles have a Jaccard similarity of at least
     ``sketch.similarity``; candidates come from SimHash, each link is checked on the texts, and no
     candidate between two of the groups found stays unchecked (:func:`similar_groups`). Of a
-    group the row with the smallest id stays (null last; then the smallest content). Copies are
-    merged within tasks before the shuffle. The rows that are left are stored by fingerprint, so
+    group the row with the smallest id stays (null last; then the smallest content). Texts of equal
+    shingle sets are merged within tasks before the shuffle. The rows that are left are stored by fingerprint, so
     that neither the check nor the removal moves all texts again.
     """
     spark = docs.sparkSession

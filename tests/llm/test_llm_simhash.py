@@ -192,9 +192,20 @@ def test_pairs_behind_a_failed_link_are_checked_too(spark):
 def test_offers_leave_out_checked_pairs_and_pairs_of_one_root():
     prints = [bytes([0] * 31 + [k]) for k in (0, 1, 3, 7)]
     rows = [(prints[0], b"x", [prints[1]]), (prints[1], b"y", None), (prints[2], b"y", None)]
-    assert simhash.offered(rows, [], 2, 2, 9) == ([(0, 2)], False)
+    assert simhash.offered(rows, [], 2, 2, 4, 9) == ([(0, 2)], False)
     far = [(prints[3], b"z", None)]
-    links, cut = simhash.offered(rows, far, 9, 9, 9)
+    links, cut = simhash.offered(rows, far, 9, 9, 4, 9)
     assert (sorted(links), cut) == ([(0, 3), (1, 3), (2, 3)], False)
-    links, cut = simhash.offered(rows, far, 9, 9, 1)
+    links, cut = simhash.offered(rows, far, 9, 9, 4, 1)
     assert (2, 3) in links and cut
+
+
+def test_repeats_count_once_and_equal_bits_are_no_proof(spark):
+    once = [f"p{k}" for k in range(204)]
+    repeated = once[:100] + once[80:100] * 19 + once[100:]
+    # one shingle in the majority gives all bits of the fingerprint by repeats; the rest differs
+    loops = [" ".join(["x"] * 100 + [f"{name}{k}" for k in range(20)]) for name in "ab"]
+    rows = [(i, t, "en", "a") for i, t in enumerate([" ".join(once), " ".join(repeated), *loops])]
+    assert simhash.jaccard(rows[0][1], rows[1][1], 5) >= 0.8 > simhash.jaccard(*loops, 5)
+    out = simhash.one_of_each(edge.documents(spark, rows))
+    assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3]
