@@ -78,3 +78,24 @@ def test_no_python_and_no_shuffle(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = licenses.scan(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_main_licenses_are_found(spark):
+    samples = {
+        "BSD-3-Clause": licenses.TEMPLATES.get("BSD-3-Clause", "a b"),
+        "GPL-2.0-header": "x\n\nThis program is free software; you can redistribute it and/or modify\n"
+        "it under the terms of the GNU General Public License as published by\nthe Free Software "
+        "Foundation; either version 2 of the License, or\n(at your option) any later version.\n\ny",
+        "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, "
+        "v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+        "CC-BY-SA-4.0-text": "a\nThis work is licensed under a Creative Commons Attribution-ShareAlike "
+        "4.0 International License.\nb",
+    }
+    rows = [(i, text, None, None) for i, text in enumerate(samples.values())]
+    best = {}
+    for r in licenses.scan(edge.documents(spark, rows)).collect():
+        best[r.doc_id] = max(best.get(r.doc_id, (0, "")), (r.dice, r.license_id))
+    assert [best.get(i, (0, None))[1] for i in range(len(rows))] == list(samples)
+    # the SQL puts the texts between single quotes
+    assert not any("'" in text for text in licenses.TEMPLATES.values())
