@@ -148,6 +148,12 @@ def plan(
         raise ValueError("rule is 'dot' or 'norm'")
     limits = capacities.limits()
     scale = np.array(weights) / limits
+
+    def scores(before: np.ndarray, need: np.ndarray) -> np.ndarray:
+        if rule == "dot":
+            return -(before * scale) @ (need * scale)
+        return np.square((before - need) * scale).sum(axis=1)
+
     # one row for each filling that is open: what is left under each capacity
     left = np.empty((0, 3), dtype=np.int64)
     fillings: list[tuple[int, ...]] = []
@@ -159,13 +165,16 @@ def plan(
         while waiting:
             fits = np.flatnonzero((left >= need).all(axis=1) & (counts > 0))
             if len(fits):
-                if rule == "dot":
-                    score = -(left[fits] * scale) @ (need * scale)
-                else:
-                    score = (np.square((left[fits] - need) * scale)).sum(axis=1)
+                score = scores(left[fits], need)
                 at = int(fits[np.argmin(score)])
-                moved, filling, rest = min(waiting, int(counts[at])), fillings[at], left[at]
-                times = 1
+                filling, rest, bins = fillings[at], left[at], int(counts[at])
+                # the next piece goes into the same bin while it fits and no other bin scores better
+                others = (score if bins > 1 else score[fits != at]).min(initial=np.inf)
+                times, after = 1, rest - need
+                while times < waiting and (after >= need).all() and scores(after[None], need)[0] <= others:
+                    times, after = times + 1, after - need
+                # the last of equal bins has other rivals, so it is looked at by itself
+                moved = min(waiting // times, max(bins - 1, 1))
                 counts[at] -= moved
             else:
                 times = int((limits // need).min())

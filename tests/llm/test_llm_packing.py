@@ -112,3 +112,11 @@ def test_both_libraries_agree():
     samples += ["a  b\t\tc \n\n d'll 12a ÄÖ ÿŁ x\r\ny", "<|endoftext|>", " \n", " a b c", "日本 語"]
     for text in samples:
         assert fast.ids(text).tolist() == slow.ids(text).tolist()
+
+
+def test_equal_pieces_fill_a_bin_before_the_next():
+    lengths = {600: 10, 200: 10, 141: 15}
+    everything = [n for n, times in lengths.items() for _ in range(times)]
+    fillings = packing.plan(lengths, packing.Capacities())
+    used = sum(n for _, n in fillings)
+    assert used == one_by_one(everything, packing.Capacities(), "norm", (1, 0, 0)) == 10
