@@ -48,8 +48,10 @@ def dictionaries(
         F.substring(content, F.pmod(order, slack).cast("int") + 1, F.lit(piece_chars)).alias("piece"),
     )
     first = Window.partitionBy("lang").orderBy("order", "piece")
+    # copies of a text would use up the places of other texts
     rows = (
-        labelled.withColumn("k", F.row_number().over(first))
+        labelled.distinct()
+        .withColumn("k", F.row_number().over(first))
         .where(F.col("k") <= documents)
         .collect()
     )

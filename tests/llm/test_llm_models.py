@@ -191,3 +191,10 @@ def test_narrow_margins_are_not_accepted():
     assert (name, score, margin) == ("a", 0.5, 0.0)
     name, score, margin = language.verdict(["a", "b"], [120, 60], 4.0)
     assert name == "b" and score > 0.99 and margin == 0.5
+
+
+def test_copies_do_not_use_up_a_dictionary(spark):
+    rows = [(i, f"text number {i % 40 if i < 40 else 0}", "en", None) for i in range(400)]
+    rows += [(1000 + i, f"text number {i % 40}", "en", None) for i in range(4000)]
+    found = language.dictionaries(edge.documents(spark, rows), documents=30)
+    assert len(found["en"].decode().split("\n")) == 30
