@@ -29,7 +29,7 @@ def src_csv_scan(t: Tables) -> DataFrame:
     backwards = [f"`{name}`" for name in reversed(t.customer.columns)]
     for part, columns in enumerate((["*"], backwards)):
         rows = t.customer.where(f"c_custkey % 2 = {part}").selectExpr(*columns)
-        rows.coalesce(1).write.mode("append").option("header", True).csv(folder)
+        rows.write.mode("append").option("header", True).csv(folder)
     return tables.read_csv(t.spark, folder, CUSTOMER)
 
 

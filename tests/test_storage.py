@@ -117,3 +117,16 @@ def test_filters_and_columns_reach_the_scan(spark, capsys):
     plan = capsys.readouterr().out
     assert "EqualTo(o_orderstatus,O)" in plan
     assert "o_orderdate" not in plan.split("ReadSchema")[1]
+
+
+def test_a_delivery_is_written_by_all_its_partitions(spark):
+    from types import SimpleNamespace
+
+    from creditloom.workload import storage
+
+    customer = spark.range(0, 400, 1, 4).selectExpr(
+        "id AS c_custkey", "'x' AS c_mktsegment", "1.5D AS c_acctbal"
+    )
+    frame = storage.src_csv_scan(SimpleNamespace(spark=spark, customer=customer))
+    assert len(frame.inputFiles()) == 8
+    assert sorted(r.c_custkey for r in frame.collect()) == list(range(400))
