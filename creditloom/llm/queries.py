@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import (
+    conversations,
     language,
     licenses,
     line_dedup,
@@ -105,6 +106,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_report(line_dedup.drop_common_lines(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_report(
+        conversations.damaged(_table(spark, folder, "conversations"))
+    )
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
