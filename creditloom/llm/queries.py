@@ -20,6 +20,7 @@ from creditloom.llm import (
     sql,
     topk,
     warc,
+    winnowing,
 )
 
 
@@ -112,6 +113,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.edit_report(_table(spark, folder, "documents"))
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

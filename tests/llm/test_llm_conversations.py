@@ -167,12 +167,12 @@ def test_runs_and_powers(seed, monkeypatch):
     for symbol, _ in runs:
         costs = conversations.END
         for n in range(1, 40):
-            costs = conversations.advance(repairs.power(symbol, 0), single)
+            costs = conversations.advance(repairs.power(symbol, 0), costs)
             assert repairs.before_run(symbol, n, conversations.END) == costs
 
 
 def test_messages(spark):
-    rows = [(5, 0, "user", "Hi."), (5, 2, "user", "Still there?"), (6, 0, "assistant", "x")]
+    rows = [(5, 0, "user", "Hi."), (5, 2, "user", "Still there?"), (5, 3, "assistant", "Yes."), (5, 4, "user", "Good."), (6, 0, "assistant", "x")]
     found = conversations.repaired_messages(
         spark.createDataFrame([(*r, 1) for r in rows], SCHEMA + ", copies int")
     )
@@ -181,7 +181,9 @@ def test_messages(spark):
         (5, 0, "K", "user", "Hi."),
         (5, 1, "I", "assistant", ""),
         (5, 2, "K", "user", "Still there?"),
-        (5, 3, "I", "assistant", ""),
+        (5, 3, "K", "assistant", "Yes."),
+        (5, 4, "K", "user", "Good."),
+        (5, 5, "I", "assistant", ""),
     ]
 
 
