@@ -17,6 +17,7 @@ from creditloom.llm import (
     quality_model,
     quality_rules,
     simhash,
+    spelling,
     sql,
     topk,
     warc,
@@ -113,6 +114,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(_table(spark, folder, "documents")))
+
+
 def op13_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.edit_report(_table(spark, folder, "documents"))
 
