@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import plans
-from creditloom.sources import sinks, tables
+from creditloom.sources import sinks, snapshots, tables
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,12 @@ class Job:
 
 
 JOBS = {
+    "application_peers": Job(
+        ("application_train", "application_test"),
+        plans.application_peers.features,
+        plans.application_peers.COLUMNS,
+        plans.application_peers.PEER_KEYS,
+    ),
     "bureau": Job(("bureau", "bureau_balance"), plans.bureau.features, plans.bureau.COLUMNS),
     "credit_card": Job(
         ("credit_card_balance",), plans.credit_card.features, plans.credit_card.COLUMNS
@@ -46,7 +52,8 @@ def run_job(
 
     Writes the run to ``<out>/<name>/features``, exports it without header in column order to
     ``<out>/<name>/export/<date>``, and lays it over what is published by key in
-    ``<out>/<name>/published``. Running a date again replaces what it wrote.
+    ``<out>/<name>/published``. What that changed since the snapshot before, which is all a loader
+    has to take, goes to ``<out>/<name>/changes``. Running a date again replaces what it wrote.
     """
     job = JOBS[name]
     read = (tables.read_run_csv(spark, deliveries, table, run_date) for table in job.inputs)
@@ -56,5 +63,10 @@ def run_job(
     rows = tables.read_run(spark, f"{root}/features", run_date)
     sinks.export_csv(rows, f"{root}/export/{run_date}")
     versioned = rows.withColumn("run", F.lit(int(run_date)))
-    sinks.publish(versioned, f"{root}/published", job.keys, "run", snapshot=run_date)
+    published = f"{root}/published"
+    sinks.publish(versioned, published, job.keys, "run", snapshot=run_date)
+    earlier = [name for name in snapshots.snapshots(spark, published) if name < run_date]
+    if earlier:
+        fed = snapshots.changes(spark, published, earlier[-1], run_date)
+        sinks.write_run(fed, f"{root}/changes", run_date)
     return rows

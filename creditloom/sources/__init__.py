@@ -1,3 +1,3 @@
-from creditloom.sources import sinks, tables
+from creditloom.sources import sinks, snapshots, tables
 
-__all__ = ["sinks", "tables"]
+__all__ = ["sinks", "snapshots", "tables"]

@@ -1,15 +1,15 @@
-"""Writing feature tables: repeatable run-dated output, CSV export, keyed snapshots."""
+"""Writing feature tables: repeatable run-dated output, CSV export; keyed snapshots from their module."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalar import named
+from creditloom.sources.snapshots import merge_latest, publish, read_published
 from creditloom.sources.tables import RUN_DATE
 
+__all__ = ["export_csv", "merge_latest", "publish", "read_published", "write_run"]
+
 
 def write_run(df: DataFrame, path: str, run_date: str) -> None:
     """Write one run; writing the same run again replaces it and leaves the other runs alone."""
@@ -32,97 +32,3 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
     if single_file:
         df = df.repartition(1)
     df.write.mode("overwrite").option("header", False).csv(path)
-
-
-def merge_latest(
-    published: DataFrame | None, batch: DataFrame, keys: Sequence[str], version: str
-) -> DataFrame:
-    """The published rows with a new batch laid over them: per key the highest version wins.
-
-    On equal versions the batch wins, so that merging a batch twice changes nothing. Rows of a batch
-    that agree in key and version are told apart by their content, so that the outcome does
-    not depend on where they are read.
-    """
-    both = batch.withColumn("__new", F.lit(1))
-    if published is not None:
-        both = published.withColumn("__new", F.lit(0)).unionByName(both)
-    newest = Window.partitionBy(*map(named, keys)).orderBy(
-        named(version).desc_nulls_last(),
-        F.col("__new").desc(),
-        F.xxhash64(*map(named, sorted(batch.columns))),
-    )
-    return (
-        both.withColumn("__place", F.row_number().over(newest))
-        .where(F.col("__place") == 1)
-        .drop("__place", "__new")
-    )
-
-
-BUCKET, SNAPSHOT = "key_bucket", "snapshot"
-
-
-def _newest(spark: SparkSession, root: str, upto: str | None, before: bool) -> DataFrame | None:
-    """Bucket and name of the newest snapshot of every bucket; None if nothing is published."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    names = _stored(spark, root).select(BUCKET, SNAPSHOT)
-    if upto is not None:
-        names = names.where(F.col(SNAPSHOT) < upto if before else F.col(SNAPSHOT) <= upto)
-    return names.groupBy(BUCKET).agg(F.max(SNAPSHOT).alias(SNAPSHOT))
-
-
-def _stored(spark: SparkSession, root: str) -> DataFrame:
-    """All snapshots; their names are text."""
-    found = spark.read.option("basePath", root).parquet(root)
-    return found.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
-
-
-def read_published(spark: SparkSession, root: str, snapshot: str | None = None) -> DataFrame:
-    """The published rows as of a snapshot (the newest): of every key bucket its last version."""
-    newest = _newest(spark, root, snapshot, before=False)
-    if newest is None:
-        raise ValueError(f"nothing is published at {root}")
-    # a row for each bucket, whose number is fixed when the root is first written
-    return (
-        _stored(spark, root).join(F.broadcast(newest), [BUCKET, SNAPSHOT]).drop(BUCKET, SNAPSHOT)
-    )
-
-
-def publish(
-    batch: DataFrame,
-    root: str,
-    keys: Sequence[str],
-    version: str,
-    *,
-    snapshot: str,
-    buckets: int = 64,
-) -> None:
-    """Lay a batch over what is published, as snapshot ``snapshot``.
-
-    Rows are stored by a hash of their key in ``key_bucket=<n>/snapshot=<name>``; only the buckets
-    that the batch has keys in are read and written. Snapshots are never changed by later ones, and
-    sort by name. A run that is repeated starts from the snapshots before it and replaces its own.
-    ``buckets`` has to be the same for all runs of a root.
-    """
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*map(named, keys)), F.lit(buckets)).cast("int")
-    batch = batch.withColumn(BUCKET, bucket)
-    newest = _newest(spark, root, snapshot, before=True)
-    published = None
-    if newest is not None:
-        touched = newest.join(F.broadcast(batch.select(BUCKET).distinct()), BUCKET, "left_semi")
-        published = (
-            _stored(spark, root)
-            .join(F.broadcast(touched), [BUCKET, SNAPSHOT])
-            .select(*map(named, batch.columns))
-        )
-    merged = merge_latest(published, batch, keys, version)
-    (
-        merged.withColumn(SNAPSHOT, F.lit(snapshot))
-        .hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET, SNAPSHOT)
-        .parquet(root)
-    )

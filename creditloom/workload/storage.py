@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from creditloom.session import scratch_folder
-from creditloom.sources import sinks, tables
+from creditloom.sources import sinks, snapshots, tables
 from creditloom.workload.registry import Tables, query
 
 CUSTOMER = StructType(
@@ -99,3 +99,29 @@ def sink_keyed_upsert(t: Tables) -> DataFrame:
     sinks.publish(first, root, ["c_custkey"], "version", snapshot="a")
     sinks.publish(second, root, ["c_custkey"], "version", snapshot="b")
     return sinks.read_published(t.spark, root)
+
+
+@query(
+    "sink_change_feed",
+    """SELECT o_orderkey, o_custkey,
+              CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END
+                  AS o_totalprice,
+              CASE WHEN o_orderkey % 11 = 0 THEN 'inserted' ELSE 'changed' END AS change
+       FROM orders WHERE o_orderkey % 13 <> 5 AND (o_orderkey % 7 = 0 OR o_orderkey % 11 = 0)
+       UNION ALL SELECT o_orderkey, NULL, NULL, 'removed' FROM orders
+       WHERE o_orderkey % 13 = 5 AND o_orderkey % 11 <> 0""",
+)
+def sink_change_feed(t: Tables) -> DataFrame:
+    """Two whole deliveries of the orders; what a loader has to take of the second."""
+    root = scratch_folder(t.spark) + "/published"
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    raised = F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)
+    first = orders.where("o_orderkey % 11 <> 0").withColumn("run", F.lit(1))
+    second = (
+        orders.where("o_orderkey % 13 <> 5")
+        .withColumn("o_totalprice", F.col("o_totalprice") + raised)
+        .withColumn("run", F.lit(2))
+    )
+    snapshots.publish(first, root, ["o_orderkey"], "run", snapshot="1", full=True)
+    snapshots.publish(second, root, ["o_orderkey"], "run", snapshot="2", full=True)
+    return snapshots.changes(t.spark, root, "1", "2").drop("run")

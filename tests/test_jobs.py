@@ -1,9 +1,11 @@
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from creditloom import schemas
 from creditloom.jobs import JOBS, run_job
-from creditloom.sources import sinks
+from creditloom.plans import application_peers
+from creditloom.sources import sinks, snapshots, tables
 from creditloom.workload.analogue import credit_table
 from creditloom.workload.registry import Tables
 
@@ -41,4 +43,31 @@ def test_a_table_is_derived_written_exported_and_published(spark, deliveries, tm
 
 def test_jobs_know_their_tables():
     for job in JOBS.values():
-        assert set(job.inputs) <= set(schemas.TABLES) and job.columns[0] == "SK_ID_CURR"
+        assert set(job.inputs) <= set(schemas.TABLES) and job.columns[0] == job.keys[0]
+
+
+def test_application_peers_from_both_deliveries(spark, tmp_path):
+    """The table of two inputs, keyed by peer group; its second run publishes what changed."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = credit_table(Tables(spark, SMALL), "application")
+    missing = [f for f in schemas.APPLICATION_TRAIN if f.name not in rows.columns]
+    whole = rows.withColumns({f.name: F.lit(0).cast(f.dataType) for f in missing})
+    for date, kept in (("20190101", "true"), ("20190102", "AMT_INCOME_TOTAL % 7 <> 0")):
+        for table, part in (("application_train", 0), ("application_test", 1)):
+            half = whole.where(f"SK_ID_CURR % 2 = {part}").where(kept)
+            half = half if part == 0 else half.drop("TARGET")
+            half.write.option("header", True).csv(f"{folder}/{table}_{date}.csv")
+    first = run_job(spark, "application_peers", folder, out, "20190101")
+    direct = application_peers.features(whole.where("SK_ID_CURR % 2 = 0"), whole.drop("TARGET").where("SK_ID_CURR % 2 = 1"))
+    keys = list(application_peers.PEER_KEYS)
+    assert {tuple(r[k] for k in keys) for r in first.collect()} == {
+        tuple(r[k] for k in keys) for r in direct.collect()
+    }
+    second = run_job(spark, "application_peers", folder, out, "20190102")
+    root = f"{out}/application_peers"
+    before = {tuple(r[k] for k in keys): tuple(r) for r in first.collect()}
+    after = {tuple(r[k] for k in keys): tuple(r) for r in second.collect()}
+    fed = tables.read_run(spark, f"{root}/changes", "20190102").collect()
+    want = {k: "changed" if k in before else "inserted" for k, r in after.items() if before.get(k) != r}
+    assert {tuple(r[k] for k in keys): r.change for r in fed} == want and want
+    assert snapshots.snapshots(spark, f"{root}/published") == ["20190101", "20190102"]

@@ -1,8 +1,11 @@
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from creditloom import schemas
-from creditloom.sources import sinks, tables
+from creditloom.sources import sinks, snapshots, tables
 
 
 @pytest.fixture
@@ -130,3 +133,113 @@ def test_a_delivery_is_written_by_all_its_partitions(spark):
     frame = storage.src_csv_scan(SimpleNamespace(spark=spark, customer=customer))
     assert len(frame.inputFiles()) == 8
     assert sorted(r.c_custkey for r in frame.collect()) == list(range(400))
+
+
+def rows_of(frame, *names):
+    return sorted((tuple(r[n] for n in names) for r in frame.collect()), key=str)
+
+
+def test_fifty_snapshots_are_read_by_manifest_and_old_ones_go(spark, folder):
+    root = f"{folder}/published"
+    frame = spark.range(40).selectExpr("id AS k", "id AS x", "0 AS version")
+    snapshots.publish(frame, root, ["k"], "version", snapshot="00", buckets=8)
+    for n in range(1, 51):
+        one = spark.createDataFrame([(n % 40, 100 + n, n)], "k long, x long, version int")
+        found = snapshots.publish(one, root, ["k"], "version", snapshot=f"{n:02}")
+        assert len(found.current) == 8
+    want = {k: 100 + max((n for n in range(1, 51) if n % 40 == k), default=0) for k in range(40)}
+    want = {k: x if x > 100 else k for k, x in want.items()}
+    now = snapshots.read_published(spark, root)
+    assert {r.k: r.x for r in now.collect()} == want
+    opened = {f.split("/published/")[1].rsplit("/", 1)[0] for f in now.inputFiles()}
+    named = {f"key_bucket={b}/snapshot={f}" for b, f in found.current.items()}
+    assert opened == named and len(opened) == 8
+    tenth = rows_of(snapshots.read_published(spark, root, "45"), "k", "x")
+    dropped = snapshots.retain(spark, root, 6)
+    assert dropped == [f"{n:02}" for n in range(45)]
+    assert snapshots.snapshots(spark, root) == [f"{n:02}" for n in range(45, 51)]
+    assert rows_of(snapshots.read_published(spark, root, "45"), "k", "x") == tenth
+    assert {r.k: r.x for r in snapshots.read_published(spark, root).collect()} == want
+    stored = {str(p.relative_to(root)) for p in Path(root).glob("key_bucket=*/snapshot=*")}
+    assert len(stored) <= 8 + 5
+    with pytest.raises(ValueError, match="nothing"):
+        snapshots.read_published(spark, root, "44")
+
+
+def test_a_failed_publish_is_not_seen(spark, folder, monkeypatch):
+    root = f"{folder}/published"
+    first = spark.createDataFrame([(1, "a", 1)], "k int, x string, version int")
+    snapshots.publish(first, root, ["k"], "version", snapshot="1")
+
+    def fail(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "_put", fail)
+        with pytest.raises(OSError):
+            snapshots.publish(first.withColumn("x", F.lit("b")), root, ["k"], "version", snapshot="2")
+    assert rows_of(snapshots.read_published(spark, root), "k", "x") == [(1, "a")]
+    snapshots.publish(first.withColumn("x", F.lit("c")), root, ["k"], "version", snapshot="2")
+    assert rows_of(snapshots.read_published(spark, root), "k", "x") == [(1, "c")]
+
+
+def test_a_repeated_run_leaves_later_snapshots_alone(spark, folder):
+    root, schema = f"{folder}/published", "k int, x string, version int"
+    for name, x in (("1", "a"), ("2", "b"), ("1", "A"), ("1", "AA")):
+        k = 1 if name == "1" else 2
+        frame = spark.createDataFrame([(k, x, int(name))], schema)
+        snapshots.publish(frame, root, ["k"], "version", snapshot=name, buckets=1)
+    assert rows_of(snapshots.read_published(spark, root, "1"), "k", "x") == [(1, "AA")]
+    assert rows_of(snapshots.read_published(spark, root, "2"), "k", "x") == [(1, "a"), (2, "b")]
+
+
+def test_full_snapshots_remove_and_buckets_grow(spark, folder):
+    root, schema = f"{folder}/published", "k int, x string, version int"
+    first = spark.createDataFrame([(k, f"x{k}", 1) for k in range(30)], schema)
+    second = first.where("k % 3 > 0").withColumn("version", F.lit(2))
+    snapshots.publish(first, root, ["k"], "version", snapshot="1", buckets=4)
+    snapshots.publish(second, root, ["k"], "version", snapshot="2", buckets=4, full=True)
+    assert rows_of(snapshots.read_published(spark, root), "k") == rows_of(second, "k")
+    wider = snapshots.rebucket(spark, root, snapshot="3", buckets=9)
+    assert wider.buckets == 9 and len(wider.current) > 4
+    assert rows_of(snapshots.read_published(spark, root), "k", "x") == rows_of(second, "k", "x")
+    fed = rows_of(snapshots.changed_keys(spark, root, "1", "3"), "k", "change")
+    assert fed == sorted([(k, "removed") for k in range(0, 30, 3)], key=str)
+    assert snapshots.changed_keys(spark, root, "2", "3").isEmpty()
+    with pytest.raises(ValueError, match="other columns"):
+        snapshots.publish(second.drop("x"), root, ["k"], "version", snapshot="4")
+    with pytest.raises(ValueError, match="published by"):
+        snapshots.publish(second, root, ["x"], "version", snapshot="4")
+    snapshots.publish(second.limit(0), root, ["k"], "version", snapshot="5", full=True)
+    assert snapshots.read_published(spark, root).isEmpty()
+
+
+def test_changes_read_keys_and_digests_of_touched_buckets(spark, folder, capsys):
+    root, schema = f"{folder}/published", "k int, l string, x double, y string, version int"
+    first = spark.createDataFrame(
+        [(k, f"l{k}", float(k), None if k % 2 else "y", 1) for k in range(60)]
+        + [(None, None, None, None, 1), (None, "n", 1.0, None, 1)],
+        schema,
+    )
+    batch = [(1, "l1", 1.0, None, 2), (2, "l2", None, "y", 2), (None, "n", 1.0, "", 2), (99, "new", 0.0, "", 2)]
+    snapshots.publish(first, root, ["k", "l"], "version", snapshot="a", buckets=32)
+    snapshots.publish(spark.createDataFrame(batch, schema), root, ["k", "l"], "version", snapshot="b")
+    fed = snapshots.changes(spark, root, "a", "b")
+    assert fed.columns == ["k", "l", "change", "x", "y", "version"]
+    assert rows_of(fed, "k", "l", "change", "x", "y") == sorted(
+        [
+            (2, "l2", "changed", None, "y"),
+            (99, "new", "inserted", 0.0, ""),
+            (None, "n", "changed", 1.0, ""),
+        ],
+        key=str,
+    )
+    back = rows_of(snapshots.changes(spark, root, "b", "a"), "k", "l", "change", "x")
+    assert ((99, "new", "removed", None)) in back and len(back) == 3
+    keys = snapshots.changed_keys(spark, root, "a", "b")
+    assert len(keys.inputFiles()) <= 2 * 4 * 2
+    keys.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "x:double" not in plan and "SortAggregate" not in plan
+    with pytest.raises(ValueError, match="no snapshot"):
+        snapshots.changes(spark, root, "a", "c")
