@@ -18,7 +18,6 @@ outgrown its buckets.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from creditloom.functions.scalar import named
+from creditloom.sources.files import Folder
 
 BUCKET, SNAPSHOT = "key_bucket", "snapshot"
 MANIFESTS = "_manifests"
@@ -57,53 +57,6 @@ def merge_latest(
     )
 
 
-# --- files ----------------------------------------------------------------------------------
-
-
-class _Folder:
-    """A folder in whatever store Spark reads."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.jvm, self.path = spark._jvm, path.rstrip("/")
-        self.hadoop = self.jvm.org.apache.hadoop.fs
-        self.settings = spark._jsc.hadoopConfiguration()
-        self.files = self.at().getFileSystem(self.settings)
-
-    def at(self, name: str = ""):
-        return self.hadoop.Path(f"{self.path}/{name}" if name else self.path)
-
-    def names(self, name: str = "", folders: bool = False) -> list[str]:
-        """Files (or folders) directly below, none if there is nothing."""
-        if not self.files.exists(self.at(name)):
-            return []
-        found = self.files.listStatus(self.at(name))
-        return sorted(s.getPath().getName() for s in found if s.isDirectory() == folders)
-
-    def read(self, name: str) -> str:
-        stream = self.files.open(self.at(name))
-        try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def replace(self, name: str, text: str) -> None:
-        """Write a file and move it into place, over one of that name."""
-        new = self.at(f"{name}.{uuid.uuid4().hex}.tmp")
-        stream = self.files.create(new)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        place = getattr(self.hadoop, "Options$Rename")
-        options = self.jvm.java.lang.reflect.Array.newInstance(place.OVERWRITE.getClass(), 1)
-        options[0] = place.OVERWRITE
-        context = self.hadoop.FileContext.getFileContext(self.files.getUri(), self.settings)
-        context.rename(self.files.makeQualified(new), self.files.makeQualified(self.at(name)), options)
-
-    def delete(self, name: str) -> None:
-        self.files.delete(self.at(name), True)
-
-
 # --- manifests ------------------------------------------------------------------------------
 
 
@@ -134,7 +87,7 @@ class Manifest:
 
 def snapshots(spark: SparkSession, root: str) -> list[str]:
     """Names of the snapshots of a published table, oldest first."""
-    names = _Folder(spark, root).names(MANIFESTS)
+    names = Folder(spark, root).names(MANIFESTS)
     return [name.removesuffix(".json") for name in names if name.endswith(".json")]
 
 
@@ -149,7 +102,7 @@ def manifest(
     ]
     if not names:
         return None
-    return Manifest.of(_Folder(spark, root).read(f"{MANIFESTS}/{names[-1]}.json"))
+    return Manifest.of(Folder(spark, root).read(f"{MANIFESTS}/{names[-1]}.json"))
 
 
 def _rows(
@@ -206,7 +159,7 @@ def _new_folder(spark: SparkSession, root: str, snapshot: str) -> str:
     used = 0
     for name in snapshots(spark, root):
         if name >= snapshot:
-            folders = Manifest.of(_Folder(spark, root).read(f"{MANIFESTS}/{name}.json")).current
+            folders = Manifest.of(Folder(spark, root).read(f"{MANIFESTS}/{name}.json")).current
             for folder in folders.values():
                 base, _, attempt = folder.partition("~")
                 if base == snapshot:
@@ -258,7 +211,7 @@ def publish(
 
 def _put(spark: SparkSession, root: str, found: Manifest, current: dict[int, str]) -> Manifest:
     found = Manifest(**{**asdict(found), "keys": found.keys, "current": dict(sorted(current.items()))})
-    _Folder(spark, root).replace(f"{MANIFESTS}/{found.snapshot}.json", found.text())
+    Folder(spark, root).replace(f"{MANIFESTS}/{found.snapshot}.json", found.text())
     return found
 
 
@@ -283,7 +236,7 @@ def retain(spark: SparkSession, root: str, newest: int) -> list[str]:
     """
     if newest < 1:
         raise ValueError("at least one snapshot stays")
-    folder, names = _Folder(spark, root), snapshots(spark, root)
+    folder, names = Folder(spark, root), snapshots(spark, root)
     dropped, kept = names[:-newest], names[-newest:]
     if not kept:
         return []

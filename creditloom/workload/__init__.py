@@ -1,6 +1,6 @@
 """Queries over the shared test tables, each with the SQL that gives the same rows."""
 
-from creditloom.workload import aggregates, columns, features, joins, storage, streams
+from creditloom.workload import aggregates, columns, features, joins, periods, storage, streams
 from creditloom.workload.registry import callables, statements
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "columns",
     "features",
     "joins",
+    "periods",
     "statements",
     "storage",
     "streams",
