@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import difference, indicator, safe_ratio
 from creditloom.operators.relational import with_group_total
 from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
+from creditloom.sources.copartitioned import Stored
 
 _PERIOD_MEANS = (
     "DAYS_ENTRY_PAYMENT",
@@ -82,11 +83,17 @@ def row_features(payments: DataFrame) -> DataFrame:
     ``DPD`` and ``DBD`` are 0/1 flags (paid after / before the due day) and ``LATE_PAYMENT``
     follows ``DBD``; the published features are defined this way and keep their names.
     """
-    paid = with_group_total(
-        payments,
-        ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"],
-        {"AMT_PAYMENT_GROUPED": F.sum("AMT_PAYMENT")},
+    return paid_features(
+        with_group_total(
+            payments,
+            ["SK_ID_PREV", "NUM_INSTALMENT_NUMBER"],
+            {"AMT_PAYMENT_GROUPED": F.sum("AMT_PAYMENT")},
+        )
     )
+
+
+def paid_features(paid: DataFrame) -> DataFrame:
+    """The features of payments that have the sum of their instalment, ``AMT_PAYMENT_GROUPED``."""
     share = safe_ratio("AMT_PAYMENT", "AMT_INSTALMENT")
     paid_on, due_on = F.col("DAYS_ENTRY_PAYMENT"), F.col("DAYS_INSTALMENT")
     after, before = indicator(paid_on > due_on), indicator(paid_on < due_on)
@@ -110,3 +117,20 @@ def row_features(payments: DataFrame) -> DataFrame:
 def features(payments: DataFrame) -> DataFrame:
     """One row per client."""
     return build_features(row_features(payments), SPEC)
+
+
+def _of_buckets(payments: DataFrame) -> DataFrame:
+    """Features of payments that lie together by client: sums, counts and groups stay in place."""
+    keys = ["SK_ID_CURR", "SK_ID_PREV", "NUM_INSTALMENT_NUMBER"]
+    known = F.col("SK_ID_PREV").isNotNull() & F.col("NUM_INSTALMENT_NUMBER").isNotNull()
+    total = F.sum("AMT_PAYMENT").over(Window.partitionBy(*keys))
+    paid = payments.withColumn("AMT_PAYMENT_GROUPED", F.when(known, total))
+    return build_features(paid_features(paid), SPEC, cluster_from=None)
+
+
+def stored_features(payments: Stored) -> DataFrame:
+    """:func:`features` of payments stored by client, without a shuffle of the ordinary clients.
+
+    The payments of an instalment have to be of one client.
+    """
+    return payments.derive(_of_buckets, lambda hot: build_features(row_features(hot), SPEC, cluster_from=None))

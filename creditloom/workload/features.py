@@ -23,6 +23,8 @@ from creditloom.plans import (
     pos_cash,
     previous_applications,
 )
+from creditloom.session import scratch_folder
+from creditloom.sources.copartitioned import store
 from creditloom.workload.analogue import credit_sql, credit_table
 from creditloom.workload.registry import Tables, query, sig_sql
 
@@ -489,6 +491,20 @@ def features_instalments(t: Tables) -> DataFrame:
     return comparable(wide, ["SK_ID_CURR"], inexact_names(INSTALMENTS_BRANCHES))
 
 
+@query("features_instalments_copartitioned", INSTALMENTS_SQL)
+def features_instalments_copartitioned(t: Tables) -> DataFrame:
+    """The same from payments stored by client; clients of many payments go the ordinary way."""
+    payments = store(
+        credit_table(t, "installments_payments"),
+        scratch_folder(t.spark) + "/payments",
+        "SK_ID_CURR",
+        sort=("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"),
+        hot_rows=100,
+    )
+    wide = instalments.stored_features(payments)
+    return comparable(wide, ["SK_ID_CURR"], inexact_names(INSTALMENTS_BRANCHES))
+
+
 # --- previous applications ------------------------------------------------------------------
 
 _PREVIOUS_FLAGS = ", ".join(
