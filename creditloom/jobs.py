@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import plans
+from creditloom.session import written
 from creditloom.sources import sinks, snapshots, tables
 
 
@@ -45,6 +46,24 @@ JOBS = {
 }
 
 
+QUALITY = "table string, column string, rows long, rejected long"
+
+
+def taken_in(
+    spark: SparkSession, deliveries: str, table: str, run_date: str
+) -> tuple[DataFrame, list[tuple]]:
+    """A delivery parsed once into columns, and its quality: rows and rejected values per column.
+
+    The values that do not parse are counted in the pass that stores the columns.
+    """
+    seen = Observation()
+    rows = written(tables.read_run_csv(spark, deliveries, table, run_date, observed=seen))
+    # without any file there is nothing to observe
+    counts = seen.get if rows.columns and not rows.isEmpty() else {}
+    found = [(table, c, counts.get("rows", 0), counts.get(c, 0)) for c in rows.columns]
+    return rows, found
+
+
 def run_job(
     spark: SparkSession, name: str, deliveries: str, out: str, run_date: str
 ) -> DataFrame:
@@ -53,12 +72,15 @@ def run_job(
     Writes the run to ``<out>/<name>/features``, exports it without header in column order to
     ``<out>/<name>/export/<date>``, and lays it over what is published by key in
     ``<out>/<name>/published``. What that changed since the snapshot before, which is all a loader
-    has to take, goes to ``<out>/<name>/changes``. Running a date again replaces what it wrote.
+    has to take, goes to ``<out>/<name>/changes``, and ``<out>/<name>/quality`` says how many
+    values of each input column did not parse. Running a date again replaces what it wrote.
     """
     job = JOBS[name]
-    read = (tables.read_run_csv(spark, deliveries, table, run_date) for table in job.inputs)
+    inputs = [taken_in(spark, deliveries, table, run_date) for table in job.inputs]
     root = f"{out}/{name}"
-    wide = job.features(*read).select(*(f"`{c}`" for c in job.columns))
+    quality = spark.createDataFrame([row for _, found in inputs for row in found], QUALITY)
+    sinks.write_run(quality, f"{root}/quality", run_date)
+    wide = job.features(*(rows for rows, _ in inputs)).select(*(f"`{c}`" for c in job.columns))
     sinks.write_run(wide, f"{root}/features", run_date)
     rows = tables.read_run(spark, f"{root}/features", run_date)
     sinks.export_csv(rows, f"{root}/export/{run_date}")

@@ -5,11 +5,11 @@ Each writes tables derived from the inputs to a scratch folder and returns what
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from creditloom.session import scratch_folder
+from creditloom.session import scratch_folder, written
 from creditloom.sources import sinks, snapshots, tables
 from creditloom.workload.registry import Tables, query
 
@@ -33,6 +33,64 @@ def src_csv_scan(t: Tables) -> DataFrame:
     return tables.read_csv(t.spark, folder, CUSTOMER)
 
 
+@query(
+    "src_csv_infer",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderstatus,
+              CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR)
+                   WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS mixed,
+              o_orderkey * 4000000000 AS large
+       FROM orders""",
+)
+def src_csv_infer(t: Tables) -> DataFrame:
+    """Three deliveries of different columns in different orders; every type is found in the files."""
+    folder = scratch_folder(t.spark) + "/orders"
+    orders = t.orders.select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("o_orderdate"),
+        "o_totalprice",
+        "o_orderstatus",
+        (F.col("o_orderkey") * F.lit(4_000_000_000)).alias("large"),
+        F.col("o_custkey").alias("number"),
+        "o_orderpriority",
+    )
+    common = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus", "large"]
+    layouts = ([*common, "number AS mixed"], ["o_orderpriority AS mixed", *common[::-1]], common)
+    for part, columns in enumerate(layouts):
+        rows = orders.where(f"o_orderkey % 3 = {part}").selectExpr(*columns)
+        rows.write.mode("append").option("header", True).csv(folder)
+    found = tables.read_csv(t.spark, folder)
+    return found.select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus", "mixed", "large"
+    )
+
+
+@query(
+    "src_csv_rejected",
+    """SELECT 'c_acctbal' AS column, count(*) AS rows,
+              count(*) FILTER (WHERE c_custkey % 5 = 0) AS rejected FROM customer
+       UNION ALL SELECT 'c_custkey', count(*), count(*) FILTER (WHERE c_custkey % 7 = 0) FROM customer
+       UNION ALL SELECT 'c_mktsegment', count(*), 0 FROM customer""",
+)
+def src_csv_rejected(t: Tables) -> DataFrame:
+    """How many values of a delivery do not parse, counted while it is stored."""
+    folder = scratch_folder(t.spark) + "/customer"
+    spoilt = t.customer.select(
+        F.when(F.col("c_custkey") % 7 == 0, "no number")
+        .otherwise(F.col("c_custkey").cast("string"))
+        .alias("c_custkey"),
+        "c_mktsegment",
+        F.when(F.col("c_custkey") % 5 == 0, "1,5")
+        .when(F.col("c_custkey") % 5 == 1, None)
+        .otherwise(F.col("c_acctbal").cast("string"))
+        .alias("c_acctbal"),
+    )
+    spoilt.write.option("header", True).csv(folder)
+    seen = Observation()
+    written(tables.read_csv(t.spark, folder, CUSTOMER, observed=seen))
+    rows = [(name, seen.get["rows"], seen.get[name]) for name in CUSTOMER.names]
+    return t.spark.createDataFrame(rows, "column string, rows long, rejected long")
+
+
 @query(
     "src_run_date_partition",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE year(o_orderdate) = 1998",

@@ -28,6 +28,9 @@ def test_a_table_is_derived_written_exported_and_published(spark, deliveries, tm
     lines = [r.value for r in spark.read.text(f"{out}/{name}/export/20190101").collect()]
     assert len(lines) == first.count()
     by_client = {r.SK_ID_CURR: r for r in first.collect()}
+    quality = tables.read_run(spark, f"{out}/{name}/quality", "20190101").collect()
+    assert {r.column for r in quality} == set(schemas.TABLES["pos_cash_balance"].names)
+    assert {(r.rejected, r.rows > 0) for r in quality} == {(0, True)}
     schema = first.schema
     exported = spark.read.schema(schema).csv(f"{out}/{name}/export/20190101")
     for row in exported.limit(50).collect():

@@ -2,7 +2,8 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import Observation
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from creditloom import schemas
 from creditloom.sources import sinks, snapshots, tables
@@ -243,3 +244,103 @@ def test_changes_read_keys_and_digests_of_touched_buckets(spark, folder, capsys)
     assert "x:double" not in plan and "SortAggregate" not in plan
     with pytest.raises(ValueError, match="no snapshot"):
         snapshots.changes(spark, root, "a", "c")
+
+
+def count_jobs(spark, action):
+    """How many Spark jobs an action starts."""
+    tracker = spark.sparkContext.statusTracker()
+    group = f"group {action}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        action()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_job_finds_all_headers(spark, folder):
+    for i in range(40):
+        names = ["id", "x", f"extra{i % 3}"]
+        order = names[i % 3 :] + names[: i % 3]
+        lines = [",".join(order)] + [",".join({"id": str(i), "x": str(k)}.get(n, "e") for n in order) for k in range(3)]
+        write(f"{folder}/{i}.csv", "\n" * (i % 2) + "\n".join(lines) + "\n")
+    write(f"{folder}/empty.csv", "")
+    write(f"{folder}/blank.csv", "\n  \n")
+    assert count_jobs(spark, lambda: tables.layouts_of(spark, folder)) <= 2  # and one that lists files
+    found = tables.layouts_of(spark, folder)
+    assert sum(map(len, found.values())) == 40
+    schema = StructType([StructField("id", LongType()), StructField("x", LongType())])
+    got = tables.read_csv(spark, folder, schema)
+    assert rows_of(got, "id", "x") == sorted([(i, k) for i in range(40) for k in range(3)], key=str)
+
+
+def test_headers_of_large_files_come_from_their_first_block(spark, folder):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        for name in ("a", "b"):
+            write(f"{folder}/{name}.csv", f"id,{name}\n" + "".join(f"{k},{k * 2}\n" for k in range(3000)))
+        found = {header for header in tables.layouts_of(spark, folder)}
+        assert found == {("id", "a"), ("id", "b")}
+        schema = StructType([StructField("id", LongType())])
+        assert tables.read_csv(spark, folder, schema).count() == 6000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_first_lines_are_kept_by_hash(spark, folder, capsys, monkeypatch):
+    write(f"{folder}/a.csv", "id\n1\n")
+    plans, collect = [], type(spark.range(1)).collect
+    monkeypatch.setattr(
+        type(spark.range(1)),
+        "collect",
+        lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self),
+    )
+    tables.first_lines(spark, folder)
+    assert "ObjectHashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+
+
+def test_a_common_header_needs_no_search(spark, folder):
+    for name in "ab":
+        write(f"{folder}/{name}.csv", "id,x\n1,2\n")
+    schema = StructType([StructField("x", LongType())])
+    assert tables.read_csv(spark, folder, schema, same_header=True).count() == 2
+    write(f"{folder}/c.csv", "x,id\n1,2\n")
+    with pytest.raises(Exception, match="header|Header"):
+        tables.read_csv(spark, folder, schema, same_header=True).collect()
+
+
+def test_types_are_the_narrowest_that_take_all_files(spark, folder):
+    write(
+        f"{folder}/a.csv",
+        "i,l,d,day,moment,flag,text,none,mix\n"
+        "1,5000000000,1.5,2019-01-01,2019-01-01 10:00:00,true,x,,1\n"
+        "-7,1,2,2019-12-31,2019-01-02T11:30:00,FALSE,,,2019-01-01\n",
+    )
+    write(f"{folder}/b.csv", "mix,l,i,d,moment,late\ntrue,3,4,1e3,2019-05-05,99999999999999999999\n")
+    found = {f.name: f.dataType.simpleString() for f in tables.infer_schema(spark, folder)}
+    assert found == {
+        "i": "int", "l": "bigint", "d": "double", "day": "date", "moment": "timestamp",
+        "flag": "boolean", "text": "string", "none": "string", "mix": "string", "late": "double",
+    }
+    rows = tables.read_csv(spark, folder)
+    assert dict(rows.dtypes) == found
+    assert rows.where("i = 4").first().late == 1e20 and rows.where("day IS NULL").count() == 1
+    write(f"{folder}/c/only.csv".replace("/c/", "/"), "i\n2147483648\n")
+    assert dict(tables.read_csv(spark, folder).dtypes)["i"] == "bigint"
+    empty = f"{folder}/nothing"
+    Path(empty).mkdir()
+    write(f"{empty}/a.csv", "")
+    assert tables.infer_schema(spark, empty) == StructType([])
+
+
+def test_rejected_values_are_counted_in_the_same_pass(spark, folder):
+    write(f"{folder}/a.csv", "id,x,note\n1,2,n\noops,,n\n3,1.5e,\"a, b\"\n4\n")
+    write(f"{folder}/b.csv", "x,id\nbad,worse\n,7\n")
+    schema = StructType([StructField("id", LongType()), StructField("x", DoubleType())])
+    seen = Observation()
+    rows = tables.read_csv(spark, folder, schema, observed=seen)
+    assert rows.columns == ["id", "x"]
+    got = rows_of(rows, "id", "x")
+    assert got == rows_of(tables.read_csv(spark, folder, schema), "id", "x")
+    assert seen.get == {"rows": 6, "id": 2, "x": 2}
