@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import named, within_trailing
-from creditloom.session import BROADCAST_BYTES, BROADCAST_ROWS, cut_lineage
+from creditloom.session import BROADCAST_BYTES, BROADCAST_ROWS, written
 
 
 def broadcast_if_small(
@@ -70,22 +70,39 @@ def with_peer_means(
     columns: Sequence[str],
     prefix: str,
     broadcast_rows: int = BROADCAST_ROWS,
+    *,
+    stored: bool = False,
 ) -> DataFrame:
     """Attach to every row the mean of each column over all rows of the same bucket.
 
     Rows without a bucket get NULLs. There is one peer row per bucket; that small table is
     computed once, its size is checked, and only then is it broadcast, which spares a shuffle of
-    the rows on a key with few and uneven values.
+    the rows on a key with few and uneven values. The rows are read twice, so they are written once
+    and what they come from runs once; ``stored`` says that they are read from a table already.
     """
+    df = df if stored else written(df)
     peers = (
         df.where(named(bucket).isNotNull())
         .groupBy(named(bucket))
         .agg(*(F.avg(named(c)).alias(prefix + c) for c in columns))
     )
-    peers = broadcast_if_small(cut_lineage(peers), broadcast_rows)
+    peers = broadcast_if_small(written(peers), broadcast_rows)
     return df.join(peers, bucket, "left")
 
 
+def with_key_in(df: DataFrame, chosen: DataFrame, key: str, *, prune: bool = False) -> DataFrame:
+    """The rows whose key is among those of ``chosen``.
+
+    The chosen keys are grouped first, so that a key with many rows there costs nothing. ``prune``
+    joins them as they are: then Spark can build a Bloom filter of them at run time and put it on the
+    scan of ``df``, ahead of its shuffle, where ``chosen`` is a selective filter of a table, small
+    enough for that and too large to be broadcast. It is for keys that have few rows each in
+    ``chosen``: those of one key meet in one task.
+    """
+    keys = chosen.select(named(key)) if prune else group_table(chosen, [key])
+    return df.join(keys, key, "left_semi")
+
+
 def latest_rows(df: DataFrame, key: str, order: str) -> DataFrame:
     """The rows of each group that carry the group's largest ``order`` value, ties included.
 
@@ -99,11 +116,11 @@ def latest_rows(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def with_activity_in(
-    df: DataFrame, key: str, offset: str, length: int, *, inclusive: bool = False
+    df: DataFrame, key: str, offset: str, length: int, *, inclusive: bool = False, prune: bool = False
 ) -> DataFrame:
     """All rows - old ones too - of the groups that have a row in the trailing period."""
     active = df.where(within_trailing(offset, length, inclusive=inclusive))
-    return df.join(group_table(active, [key]), key, "left_semi")
+    return with_key_in(df, active, key, prune=prune)
 
 
 def with_single_member_in(
@@ -123,9 +140,11 @@ def with_single_member_in(
     return df.join(single, key, "left_semi")
 
 
-def with_event(df: DataFrame, events: DataFrame, key: str, condition: Column) -> DataFrame:
+def with_event(
+    df: DataFrame, events: DataFrame, key: str, condition: Column, *, prune: bool = False
+) -> DataFrame:
     """The rows whose key has at least one event that meets the condition."""
-    return df.join(group_table(events.where(condition), [key]), key, "left_semi")
+    return with_key_in(df, events.where(condition), key, prune=prune)
 
 
 def union_all(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,6 +229,7 @@ def row_features(loans: DataFrame) -> DataFrame:
     flags = {
         name: flag
         for column, categories in BUREAU.items()
+        if column in loans.columns
         for name, flag in one_hot(column, categories, null_as_zero=True).items()
     }
     return loans.withColumns(
@@ -241,23 +244,53 @@ def row_features(loans: DataFrame) -> DataFrame:
     )
 
 
-def loan_rows(bureau: DataFrame, balance: DataFrame) -> DataFrame:
+#: Columns of a loan and of its history that the features are made of.
+INPUTS = (
+    "SK_ID_BUREAU",
+    "SK_ID_CURR",
+    "CREDIT_ACTIVE",
+    "CREDIT_TYPE",
+    "DAYS_CREDIT",
+    "DAYS_CREDIT_UPDATE",
+    "DAYS_CREDIT_ENDDATE",
+    "DAYS_ENDDATE_FACT",
+    "AMT_CREDIT_SUM",
+    "AMT_CREDIT_SUM_DEBT",
+    "AMT_CREDIT_SUM_OVERDUE",
+    "AMT_CREDIT_MAX_OVERDUE",
+    "AMT_ANNUITY",
+    "MONTHS_BALANCE_MEAN",
+    "MONTHS_BALANCE_SIZE",
+    *(f"STATUS_{status}" for status in MONTHLY_STATUS),
+)
+
+
+def loan_rows(
+    bureau: DataFrame,
+    balance: DataFrame,
+    *,
+    inputs: Sequence[str] | None = None,
+    peers: Sequence[str] = PEER_COLUMNS,
+) -> DataFrame:
     """One row per bureau loan with its own, its history's and its peers' features.
 
     The loans with their history are read twice - for the peer means and for the features - so
-    they are joined once and written.
+    they are joined once and written, all columns or the ``inputs`` that are needed.
     """
-    joined = written(bureau.join(balance_history(balance), "SK_ID_BUREAU", "left"))
-    rows = row_features(joined).withColumn(
+    joined = bureau.join(balance_history(balance), "SK_ID_BUREAU", "left")
+    rows = row_features(written(joined.select(*(inputs or joined.columns)))).withColumn(
         "STATUS_12345", row_sum([f"STATUS_{i}" for i in range(1, 6)])
     )
-    return with_peer_means(rows, "MONTHS_BALANCE_SIZE", PEER_COLUMNS, "LL_")
+    return with_peer_means(rows, "MONTHS_BALANCE_SIZE", peers, "LL_", stored=True)
 
 
 def features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
     """One row per client. Loans without an id are left out: they cannot be told apart."""
     bureau = bureau.where("SK_ID_BUREAU IS NOT NULL")
-    wide = build_features(loan_rows(bureau, balance), SPEC, members=bureau)
+    used = {feature.column for feature in SPEC.features()}
+    peers = [c for c in PEER_COLUMNS if f"LL_{c}" in used]
+    rows = loan_rows(bureau, balance, inputs=INPUTS, peers=peers)
+    wide = build_features(rows, SPEC, members=bureau)
     latest = latest_value(
         bureau.where("SK_ID_CURR IS NOT NULL"),
         "SK_ID_CURR",

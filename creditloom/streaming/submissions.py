@@ -55,6 +55,26 @@ def from_files(
 # --- counts ---------------------------------------------------------------------------------
 
 
+def distinct_events(
+    stream: DataFrame, key: str, time: str, *, lateness: str = "1 hour"
+) -> DataFrame:
+    """Each event once, however often it is delivered; events without a key by their whole content.
+
+    Keys are held in the query's state store, so a restart from its checkpoint knows them. A key is
+    forgotten once the watermark is ``lateness`` past its event: a delivery has to be repeated
+    within that, and events that arrive later than that are dropped.
+    """
+    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
+    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in stream.columns)))
+    known = F.coalesce(
+        F.concat(F.lit("="), F.col(f"`{key}`").cast("string")), F.concat(F.lit("?"), content)
+    )
+    return (
+        timed.withColumn("__event", known).dropDuplicatesWithinWatermark(["__event"]).drop("__event")
+    )
+
+
+
 def tumbling_counts(
     stream: DataFrame, time: str, *, width: str = TRIGGER, lateness: str = "1 minute"
 ) -> DataFrame:

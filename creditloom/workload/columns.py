@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions import scalar as s
+from creditloom.functions.sql_functions import register
 from creditloom.operators.relational import distinct_keys, union_all
 from creditloom.workload.registry import Tables, days_before, days_sql, query, sig, sig_sql
 
@@ -254,6 +255,29 @@ def _scores(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", *(F.expr(e).alias(n) for n, e in _SCORES.items()))
 
 
+@query(
+    "sql_row_functions",
+    f"""SELECT p_partkey, list_min([a, b, c]) AS lowest, list_max([a, b, c]) AS highest,
+               list_avg([a, b, c]) AS average, list_median([a, b, c]) AS middle,
+               a * b * c AS product, a / nullif(b, 0) AS ratio, nullif(c, 0) AS known,
+               CASE WHEN p_size * 365 < 9855 THEN 1 WHEN p_size * 365 < 14600 THEN 2
+                    WHEN p_size * 365 < 18250 THEN 3 ELSE 4 END AS band
+        FROM {_SCORES_SQL} JOIN (SELECT p_partkey AS part, p_size FROM part) ON part = p_partkey""",
+)
+def sql_row_functions(t: Tables) -> DataFrame:
+    """Row functions called by name from SQL text."""
+    register(t.spark)
+    rows = _scores(t).join(t.part.select("p_partkey", "p_size"), "p_partkey")
+    return t.spark.sql(
+        """SELECT p_partkey, row_min(a, b, c) AS lowest, row_max(a, b, c) AS highest,
+                  row_mean(a, b, c) AS average, row_median(a, b, c) AS middle,
+                  row_product(a, b, c) AS product, safe_ratio(a, b) AS ratio,
+                  without_sentinel(c, 0) AS known, age_band(-p_size * 365) AS band
+           FROM {rows}""",
+        rows=rows,
+    )
+
+
 @query("row_min", f"SELECT p_partkey, list_min([a, b, c]) AS lowest FROM {_SCORES_SQL}")
 def row_min(t: Tables) -> DataFrame:
     return _scores(t).select("p_partkey", s.row_min(_ABC).alias("lowest"))

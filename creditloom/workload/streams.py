@@ -90,3 +90,31 @@ def stream_submission_counter(t: Tables) -> DataFrame:
     submissions.run_until_drained(writer)
     messages = t.spark.read.parquet(f"{scratch}/out")
     return messages.groupBy("key").agg(F.sum(F.col("value").cast("bigint")).alias("submitted"))
+
+
+@query(
+    "stream_restarted_counter",
+    "SELECT 'application_submit' AS key, count(*) AS submitted FROM events",
+)
+def stream_restarted_counter(t: Tables) -> DataFrame:
+    """The counter stopped and restarted twice, with half of the events delivered again in between."""
+    scratch = scratch_folder(t.spark)
+    inbox, halves = f"{scratch}/in", (t.events.where(f"event_id % 2 = {part}") for part in (0, 1))
+    first, second = halves
+
+    def restart() -> None:
+        events = submissions.from_files(t.spark, inbox, t.events.schema, files_per_batch=1)
+        counted = submissions.distinct_events(events, "event_id", "ts", lateness="400 days")
+        writer = submissions.submission_counter(
+            counted,
+            "application_submit",
+            submissions.message_files(f"{scratch}/out"),
+            f"{scratch}/state",
+        )
+        submissions.run_until_drained(writer)
+
+    for delivery in (first, first, second):
+        delivery.write.mode("append").parquet(inbox)
+        restart()
+    messages = t.spark.read.parquet(f"{scratch}/out")
+    return messages.groupBy("key").agg(F.sum(F.col("value").cast("bigint")).alias("submitted"))

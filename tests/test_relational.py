@@ -139,3 +139,38 @@ def test_broadcast_looks_at_rows_and_bytes(spark):
     hinted = lambda **limits: "broadcast" in broadcast_if_small(table, **limits)._jdf.queryExecution().logical().toString().lower()
     assert hinted() and not hinted(rows=99) and not hinted(size=10_000)
     assert broadcast_if_small(table.where("id < 0")).count() == 0
+
+
+def test_peer_means_run_their_input_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 AS bucket", "double(id) AS x").write.parquet(f"{tmp_path}/source")
+    frame = spark.read.parquet(f"{tmp_path}/source").where("id > 3")
+    result = r.with_peer_means(frame, "bucket", ["x"], "peer_")
+    assert not any("/source/" in file for file in result.inputFiles())
+    assert result.count() == 96
+    again = r.with_peer_means(frame, "bucket", ["x"], "peer_", stored=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, result.collect()))
+
+
+def test_pruned_semi_joins_filter_the_scan_ahead_of_the_shuffle(spark, tmp_path):
+    """At sizes where the key side is not broadcast, a Bloom filter of it reaches the large scan."""
+    spark.range(20_000).selectExpr("id % 500 AS k", "id AS x", "-int(id % 90) AS month").write.parquet(f"{tmp_path}/rows")
+    spark.range(500).selectExpr("id AS k", "double(id) AS late").write.parquet(f"{tmp_path}/events")
+    rows, events = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("rows", "events"))
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    spark.conf.set(size, "1k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for make in (
+            lambda prune: r.with_event(rows, events, "k", F.col("late") > 480, prune=prune),
+            lambda prune: r.with_activity_in(rows, "k", "month", 2, prune=prune),
+        ):
+            pruned, grouped = make(True), make(False)
+            plan = pruned._jdf.queryExecution().executedPlan().toString()
+            assert "might_contain" in plan
+            filters = [at for at, line in enumerate(plan.splitlines()) if "might_contain" in line]
+            exchanges = [at for at, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning(k" in line]
+            assert min(exchanges) < filters[0]
+            assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, grouped.collect()))
+    finally:
+        spark.conf.unset(size)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
