@@ -132,3 +132,128 @@ WITH template AS (
 SELECT any_value(doc_id) AS doc_id, license_id, max(dice) AS dice, count(*) AS n_parts
 FROM compared WHERE dice >= 0.8 GROUP BY r, license_id
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    return f"""xor(list_reduce(
+        list_transform(range(0, strlen({text})),
+                       lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT),
+        lambda a, b: list_reduce(range(0, 8), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(a, b)),
+        4294967295::BIGINT), 4294967295)"""
+
+
+op11_conversation_repair = rf"""
+WITH RECURSIVE plain AS (
+    SELECT conv_id, coalesce(conv_id::VARCHAR, '') AS key, turn, coalesce(role, ' ') AS role,
+           coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place
+    FROM conversations
+), damaged AS (
+    SELECT key, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+           CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(0, CASE damage WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM (SELECT *, {_crc32("place")} % 20 AS damage FROM plain)
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, digest) AS nth
+    FROM (SELECT *, sha256(strlen(role)::VARCHAR || ':' || role || text) AS digest FROM damaged)
+), judged AS (
+    SELECT key, nth, turn, role, text, role[1] AS initial, digest,
+           row_number() OVER (PARTITION BY key, role, text ORDER BY nth) > 1 AS again,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS shown
+    FROM numbered
+), messages AS (
+    SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN again THEN 'duplicate'
+                   WHEN shown NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY key ORDER BY nth) || initial AS pair
+    FROM judged
+), counted AS (
+    SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(nth) AS size
+    FROM messages GROUP BY key
+), due(state, role, next) AS (
+    VALUES ('', 'user', 'u'), ('s', 'user', 'u'), ('u', 'assistant', 'a'), ('a', 'user', 'u')
+), inserts AS (
+    SELECT state, state AS to_state, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM due
+    UNION ALL SELECT state, next, 2, 'I', [role || ':'] FROM due
+    UNION ALL SELECT a.state, b.next, 4, 'II', [a.role || ':', b.role || ':']
+    FROM due a JOIN due b ON a.next = b.state
+), kept(state, initial, to_state) AS (
+    VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')
+), best AS (
+    SELECT key, 0::BIGINT AS nth, '' AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines
+    FROM counted
+    UNION ALL
+    SELECT key, nth, state, cost, audit, lines FROM (
+        SELECT b.key, m.nth, e.to_state AS state, b.cost + i.cost + e.cost AS cost,
+               b.audit || i.audit || e.edit AS audit,
+               list_concat(b.lines, list_concat(i.lines, e.lines)) AS lines
+        FROM best b JOIN messages m ON m.key = b.key AND m.nth = b.nth + 1
+             JOIN inserts i ON i.state = b.state
+             JOIN LATERAL (
+                 SELECT 'D' AS edit, 3 AS cost, i.to_state AS to_state, []::VARCHAR[] AS lines
+                 UNION ALL SELECT 'R', 2 + (m.fault = 'truncated')::INT, d.next, [d.role || ':' || m.text]
+                 FROM due d WHERE d.state = i.to_state AND m.fault IN ('', 'truncated')
+                 UNION ALL SELECT 'K', (m.fault = 'truncated')::INT, k.to_state, [m.role || ':' || m.text]
+                 FROM kept k WHERE k.state = i.to_state AND k.initial = m.initial
+                                   AND m.fault IN ('', 'truncated')
+             ) e ON true
+    ) QUALIFY row_number() OVER (PARTITION BY key, state ORDER BY cost, audit) = 1
+), ended AS (
+    SELECT b.key, b.cost + i.cost AS cost, b.audit || i.audit AS audit,
+           list_concat(b.lines, i.lines) AS lines
+    FROM best b JOIN counted c ON c.key = b.key AND c.size = b.nth
+         JOIN inserts i ON i.state = b.state AND i.to_state IN ('', 'a')
+    QUALIFY row_number() OVER (PARTITION BY b.key ORDER BY b.cost + i.cost, b.audit || i.audit) = 1
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, key FROM plain) LEFT JOIN counted USING (key) LEFT JOIN ended USING (key)
+"""
+
+op12_spelling_variants = rf"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc,
+           translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), hashed AS (
+    SELECT run, n, {_crc32("(doc || ':' || run)")} AS h
+    FROM (SELECT doc, run, count(*) AS n FROM runs GROUP BY doc, run) WHERE length(run) >= 5
+), words AS (
+    SELECT CASE WHEN h % 97 = 0
+                THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT)
+                ELSE run END AS word, sum(n)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), holes AS (
+    SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+), shorter AS (
+    SELECT DISTINCT h.word AS long, w.word AS short FROM holes h JOIN words w ON h.rest = w.word
+), pairs AS (
+    SELECT a.word, b.word AS near FROM holes a JOIN holes b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT long, short FROM shorter
+    UNION SELECT short, long FROM shorter
+), first AS (
+    SELECT p.word, count(*) OVER (PARTITION BY p.word) AS n_near, near, w.n AS near_n
+    FROM pairs p JOIN words w ON w.word = p.near
+    QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, near) = 1
+), judged AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+           CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+    FROM words LEFT JOIN first USING (word)
+), ups AS (
+    SELECT word, word AS root, form FROM judged
+    UNION ALL
+    SELECT u.word, j.word, j.form FROM ups u JOIN judged j ON u.form = j.word
+)
+SELECT word, j.form, u.root, n, n_near, form_n
+FROM judged j JOIN (SELECT word, root FROM ups WHERE form IS NULL) u USING (word)
+"""

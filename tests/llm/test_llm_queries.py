@@ -9,9 +9,9 @@ import corpus_pipeline
 from creditloom.llm import queries
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = entry_points.queries()
-    assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in names) != 1] == []
     assert names["pipeline"] is corpus_pipeline.run
     assert "pipeline" not in entry_points.oracle_sql()
     assert set(queries.statements()) <= set(queries.callables())
