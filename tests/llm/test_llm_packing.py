@@ -53,7 +53,6 @@ def test_a_piece_must_fit():
 
 def check(spark, frame, rows, max_tokens=1024):
     tokenizer = Tokenizer.from_file(byte_bpe()["tokenizer"])
-    tokenizer.encode_special_tokens = True
     pieces = packing.tokenised(frame, **byte_bpe(), max_tokens=max_tokens)
     got = packing.pack(pieces, packing.Capacities(max_tokens)).collect()
     want, total = Counter(), 0
@@ -120,3 +119,14 @@ def test_equal_pieces_fill_a_bin_before_the_next():
     fillings = packing.plan(lengths, packing.Capacities())
     used = sum(n for _, n in fillings)
     assert used == one_by_one(everything, packing.Capacities(), "norm", (1, 0, 0)) == 10
+
+
+def test_special_tokens_and_long_runs(spark):
+    """Ids are those of a plain call, whatever stands in the text, and however long its runs are."""
+    rows = [(1, "a <|endoftext|> b", None, None), (2, "<|endoftext|>" * 3, None, None)]
+    rows += [(3, " " * 2_000_000, None, None), (4, "x" + "\n" * 2_000_000 + "y", None, None)]
+    rows += [(5, "\t \r\n" * 300_000 + "z", None, None), (6, "ab" * 1_000_000, None, None)]
+    rows += [(7, (" " * 4095 + "w") * 30 + " " * 4097, None, None), (8, "1" * 500_000, None, None)]
+    check(spark, edge.documents(spark, rows), rows)
+    by = packing.tokenised(edge.documents(spark, rows[:1]), **byte_bpe(), with_ids=True).first()
+    assert by["ids"] == [64, 220, 50256, 275, 2]
