@@ -232,7 +232,7 @@ def cluster_by_key(
     keys: Sequence[str],
     members: DataFrame,
     *,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Bring the rows of a key together ahead of a wide aggregation.
 
@@ -260,7 +260,7 @@ def build_features(
     spec: FeatureSpec,
     *,
     members: DataFrame | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = HOT_GROUP_ROWS,
     cluster_from: int | None = 64,
 ) -> DataFrame:
     """One row per key with all features of the spec, in its column order.
@@ -269,7 +269,8 @@ def build_features(
     rows by key before it aggregates (see :func:`cluster_by_key`); the result is the same. That
     costs a counting pass over the keys when this is called, and pays where a partial result is
     wider than the few rows it stands for; None never does it. ``members`` is a table with the same
-    rows per key as ``df`` that is cheaper to count, if there is one.
+    rows per key as ``df`` that is cheaper to count, if there is one; ``hot_rows=None`` spares the
+    counting where no key is hot.
     """
     compiler = _Compiler(spec)
     features = spec.features()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import difference, one_hot, row_sum, safe_ratio
 from creditloom.functions.vocabulary import BUREAU, MONTHLY_STATUS
-from creditloom.operators.grouped import latest_value
+from creditloom.operators.grouped import HOT_GROUP_ROWS, latest_value
 from creditloom.operators.relational import group_table, with_peer_means
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 from creditloom.session import written
@@ -284,13 +284,18 @@ def loan_rows(
     return with_peer_means(rows, "MONTHS_BALANCE_SIZE", peers, "LL_", stored=True)
 
 
-def features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
-    """One row per client. Loans without an id are left out: they cannot be told apart."""
+def features(
+    bureau: DataFrame, balance: DataFrame, *, hot_rows: int | None = HOT_GROUP_ROWS
+) -> DataFrame:
+    """One row per client. Loans without an id are left out: they cannot be told apart.
+
+    ``hot_rows=None`` says that no client is hot, and spares a counting job.
+    """
     bureau = bureau.where("SK_ID_BUREAU IS NOT NULL")
     used = {feature.column for feature in SPEC.features()}
     peers = [c for c in PEER_COLUMNS if f"LL_{c}" in used]
     rows = loan_rows(bureau, balance, inputs=INPUTS, peers=peers)
-    wide = build_features(rows, SPEC, members=bureau)
+    wide = build_features(rows, SPEC, members=bureau, hot_rows=hot_rows)
     latest = latest_value(
         bureau.where("SK_ID_CURR IS NOT NULL"),
         "SK_ID_CURR",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalar import difference, indicator, safe_ratio
+from creditloom.operators.grouped import HOT_GROUP_ROWS
 from creditloom.operators.relational import with_group_total
 from creditloom.operators.spec import FeatureSpec, Segment, block, build_features
 from creditloom.sources.copartitioned import Stored
@@ -114,9 +115,9 @@ def paid_features(paid: DataFrame) -> DataFrame:
     )
 
 
-def features(payments: DataFrame) -> DataFrame:
-    """One row per client."""
-    return build_features(row_features(payments), SPEC)
+def features(payments: DataFrame, *, hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+    """One row per client; ``hot_rows=None`` says that no client is hot, and spares a counting job."""
+    return build_features(row_features(payments), SPEC, hot_rows=hot_rows)
 
 
 def _of_buckets(payments: DataFrame) -> DataFrame:

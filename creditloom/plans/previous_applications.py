@@ -13,6 +13,7 @@ from creditloom.functions.scalar import (
     without_sentinel,
 )
 from creditloom.functions.vocabulary import DAYS_SENTINEL, PREVIOUS_APPLICATION
+from creditloom.operators.grouped import HOT_GROUP_ROWS
 from creditloom.operators.relational import group_table
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features, quoted
 
@@ -367,10 +368,15 @@ def loan_rows(previous: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def features(
-    previous: DataFrame, payments: DataFrame, *, approved_as_recorded: bool = True
+    previous: DataFrame,
+    payments: DataFrame,
+    *,
+    approved_as_recorded: bool = True,
+    hot_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """One row per client."""
+    """One row per client; ``hot_rows=None`` says that no client is hot, and spares a counting job."""
     spec = build_spec(approved_as_recorded=approved_as_recorded)
-    wide = build_features(loan_rows(previous, payments), spec, members=previous)
+    rows = loan_rows(previous, payments)
+    wide = build_features(rows, spec, members=previous, hot_rows=hot_rows)
     repaid = safe_ratio("PREV_ACTIVE_AMT_PAYMENT_SUM", "PREV_ACTIVE_AMT_CREDIT_SUM")
     return wide.withColumn(REPAID, repaid).select(*map(quoted, COLUMNS))

@@ -2,8 +2,12 @@ import math
 
 import pytest
 from branch_plan import branch_features
+from conftest import SMALL
 
 from creditloom.operators.spec import FeatureSpec, Segment, Vocabulary, block, build_features
+from creditloom.plans import previous_applications
+from creditloom.workload.analogue import credit_table
+from creditloom.workload.registry import Tables
 
 ROWS = [
     # client, loan, status, day, amount, label
@@ -190,6 +194,23 @@ def test_clustering_can_be_left_out(spark, capsys):
         assert ("REPARTITION_BY_COL" in capsys.readouterr().out) is clustered
 
 
+def test_known_keys_are_not_counted(spark):
+    """With ``hot_rows=None`` building the plan starts no job, and the rows are the same."""
+    tables = Tables(spark, SMALL)
+    previous, payments = (
+        credit_table(tables, name) for name in ("previous_application", "installments_payments")
+    )
+    tracker = spark.sparkContext.statusTracker()
+    found = {}
+    for bound in (None, 5_000_000):
+        spark.sparkContext.setJobGroup(f"bound {bound}", "plans")
+        found[bound] = previous_applications.features(previous, payments, hot_rows=bound)
+        assert (len(tracker.getJobIdsForGroup(f"bound {bound}")) == 0) is (bound is None)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rows = [sorted(str(r.SK_ID_CURR) for r in f.select("SK_ID_CURR").collect()) for f in found.values()]
+    assert rows[0] == rows[1]
+
+
 def test_names_must_differ():
     with pytest.raises(ValueError, match="X_v_MEAN"):
         FeatureSpec(("k",), (Segment("X_", (block("mean", "v"),)), Segment("X_", (block("mean", "v"),), rows="f")))
