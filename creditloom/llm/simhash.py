@@ -13,7 +13,8 @@ pairs; large buckets are split into blocks that meet pairwise. Components are jo
 
 :func:`near_duplicates` links fingerprints and misses none within its radius. :func:`one_of_each`
 links texts by the Jaccard similarity of their shingle sets: wide fingerprints of the sets (repeats
-counted once) propose pairs, each is checked exactly, and a pair at the lowest similarity is proposed with a stated probability.
+counted once) propose pairs, links are checked exactly, and a pair at the lowest similarity is proposed
+with a probability that the number of bit sets is chosen for.
 
 Defined results: a null, empty or blank text has the fingerprint zero and is linked like any other;
 repeated rows and ties in ids share a component; null ids take part, and a component without any id
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -287,43 +288,64 @@ def bucketed(prints: DataFrame, sets: Sequence[Sequence[int]]) -> DataFrame:
     return map_batches(prints, run, "fingerprint binary, bucket binary")
 
 
-def bucket_blocks(buckets: DataFrame, block: int, what: str = "fingerprint") -> DataFrame:
-    """Blocks of fingerprints to be compared: arrays ``left`` and ``right`` of the column ``what``.
+def block_places(buckets: DataFrame, blocks: Column) -> DataFrame:
+    """Where each fingerprint is compared: ``bucket``, ``i``, ``j`` and the side, ``left`` or not.
 
-    Buckets of one are left out. A bucket of up to ``block`` is one row with ``right`` null;
-    a larger one is dealt by hash into blocks, and each pair of blocks is a row.
+    ``buckets`` has ``fingerprint``, ``bucket`` and ``size``; buckets of one are left out. ``blocks``
+    is computed from the rows ``n`` and the sizes ``total`` of a bucket: it is dealt by hash into so
+    many blocks, and each pair of blocks is a place, also each block with itself.
     """
-    sizes = group_table(buckets, ["bucket"], {"n": F.count(F.lit(1))}).where("n > 1")
+    sizes = group_table(
+        buckets, ["bucket"], {"n": F.count(F.lit(1)), "total": F.sum("size")}
+    ).where("n > 1")
     dealt = (
         buckets.join(sizes, "bucket")
-        .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+        .withColumn("blocks", blocks.cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
-    side = F.when(F.col("own") <= F.col("other"), F.col(what))
+    return dealt.select(
+        "fingerprint",
+        "bucket",
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        (F.col("own") <= F.col("other")).alias("is_left"),
+    )
+
+
+def gathered(places: DataFrame, what: str) -> DataFrame:
+    """One row per place: arrays ``left`` and ``right`` of a column; ``right`` is null inside a block."""
     return (
-        dealt.groupBy(
-            "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        )
+        places.groupBy("bucket", "i", "j")
         .agg(
-            F.collect_list(side).alias("left"),
-            F.collect_list(F.when(side.isNull(), F.col(what))).alias("right"),
+            F.collect_list(F.when(F.col("is_left"), F.col(what))).alias("left"),
+            F.collect_list(F.when(~F.col("is_left"), F.col(what))).alias("right"),
         )
         .select("left", F.when(F.col("i") != F.col("j"), F.col("right")).alias("right"))
     )
 
 
+def bucket_blocks(buckets: DataFrame, block: int) -> DataFrame:
+    """Blocks of fingerprints to be compared, of about ``block`` rows: arrays ``left`` and ``right``.
+
+    A bucket of up to ``block`` is one row with ``right`` null; a larger one is dealt by hash into
+    blocks, and each pair of blocks is a row.
+    """
+    places = block_places(buckets.withColumn("size", F.lit(1)), F.ceil(F.col("n") / block))
+    return gathered(places, "fingerprint")
+
+
 #: Rows of fingerprints that meet each other, or those of a second array.
 Block = tuple[np.ndarray, "np.ndarray | None"]
 Links = list[tuple[int, int]]
 
 
 def compare_blocks(
-    blocks: DataFrame, link: Callable[[list[Block]], Iterable[Links]], rows: int = 8192
+    blocks: DataFrame, link: Callable[[list[Block]], Iterable[Links]], cells: int = 1 << 20
 ) -> DataFrame:
     """Links ``a``, ``b`` (fingerprints) that ``link`` finds in every block or pair of blocks.
 
-    ``link`` gets blocks of about ``rows`` fingerprints together.
+    ``link`` gets blocks with no more than ``cells`` pairs together, or a single one.
     """
 
     def matrix(values: list[bytes]) -> np.ndarray:
@@ -340,21 +362,29 @@ def compare_blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held, size = [], 0
-        for batch in batches:
-            for left, right in zip(*(c.to_pylist() for c in batch.columns)):
-                if not left or right == []:
-                    continue
-                held.append((left, right or []))
-                size += len(left) + len(right or [])
-                if size >= rows:
-                    yield links_of(held)
-                    held, size = [], 0
+        for left, right in each_block(batches):
+            pairs = len(left) * (len(right) or len(left))
+            if held and size + pairs > cells:
+                yield links_of(held)
+                held, size = [], 0
+            held.append((left, right))
+            size += pairs
         if held:
             yield links_of(held)
 
     return map_batches(blocks, run, "a binary, b binary")
 
 
+def each_block(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Both sides of one block after the other, ``right`` empty if there is one side only."""
+    for batch in batches:
+        sides = [batch.column(name) for name in ("left", "right")]
+        for row in range(batch.num_rows):
+            left, right = (side[row].as_py() for side in sides)
+            if left and right != []:
+                yield left, right or []
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 3,
@@ -395,14 +425,15 @@ class Sketch:
 
     Fingerprints have ``64 * lanes`` bits. Of two texts at that similarity a bit differs with
     probability ``chance``. The radii leave room for 3.6 standard deviations above the mean. Buckets
-    are made from so many random bits that an even spread gives ``bucket_rows`` rows each (12 bits at
-    least), and from so many sets of bits that a pair shares a bucket with probability ``recall``.
+    are made from so many random bits that an even spread gives ``bucket_rows`` rows each (8 bits at
+    least), and from so many sets of bits that a pair one deviation above the mean shares a bucket
+    with probability ``recall``. The formula takes bits for independent; tests measure the recall.
     """
 
     similarity: float = 0.8
     lanes: int = 4
     recall: float = 0.985
-    bucket_rows: int = 256
+    bucket_rows: int = 1024
     seed: int = 42
 
     @property
@@ -414,11 +445,12 @@ class Sketch:
         return int(bits * self.chance + 3.6 * math.sqrt(bits * self.chance * (1 - self.chance)))
 
     def sets(self, rows: int) -> list[list[int]]:
-        size = max(12, math.ceil(math.log2(max(rows, 1) / self.bucket_rows)))
-        together = (1 - self.chance) ** size
+        size = max(8, math.ceil(math.log2(max(rows, 1) / self.bucket_rows)))
+        bits = WORD * self.lanes
+        differing = self.chance + math.sqrt(self.chance * (1 - self.chance) / bits)
+        together = (1 - differing) ** size
         number = 1 if together >= 1 else math.ceil(math.log(1 - self.recall) / math.log1p(-together))
         rng = np.random.default_rng(self.seed)
-        bits = WORD * self.lanes
         return [sorted(rng.choice(bits, size, replace=False).tolist()) for _ in range(number)]
 
 
@@ -480,6 +512,15 @@ def close_pairs(blocks: list[Block], radius: int) -> tuple[np.ndarray, np.ndarra
     return i[i < j], j[i < j]
 
 
+def distances(wide: np.ndarray, i: np.ndarray, j: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
+    """Differing bits of the rows ``i`` and ``j``, some at a time."""
+    found = np.empty(len(i), dtype=np.int16)
+    for at in range(0, len(i), chunk):
+        part = slice(at, at + chunk)
+        found[part] = np.bitwise_count(wide[i[part]] ^ wide[j[part]]).sum(axis=1, dtype=np.int16)
+    return found
+
+
 def nearest_links(
     blocks: list[Block], lane_radius: int, radius: int, lanes: int
 ) -> Iterator[Links]:
@@ -496,7 +537,7 @@ def nearest_links(
     wide = np.concatenate([p for block in blocks for p in block if p is not None])
     wide = wide[:, : lane * lanes]
     wide = np.ascontiguousarray(wide).view(np.uint64)
-    near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1) <= radius
+    near = distances(wide, i, j) <= radius
     linked = np.unique(np.concatenate([i[near], j[near]]))
     start = 0
     for left, right in blocks:
@@ -531,94 +572,131 @@ def _shortest_forest(wide: np.ndarray, side: np.ndarray | None, radius: int) ->
     return links
 
 
-#: Of rows as :func:`open_pairs` takes them: fingerprint, root, and partners that failed the check.
-Member = tuple[bytes, bytes, "list[bytes] | None"]
+#: Of rows as :func:`open_links` takes them: fingerprint, root, sorted shingle hashes as bytes.
+Member = tuple[bytes, bytes, bytes]
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``left`` shares with each of ``right``, by lists of holders."""
+    counts = np.zeros((len(left), len(right)), dtype=np.int32)
+    values, holders = [], []
+    for side in (left, right):
+        flat = np.concatenate(side)
+        owner = np.repeat(np.arange(len(side)), list(map(len, side)))
+        order = np.argsort(flat, kind="stable")
+        values.append(flat[order])
+        holders.append(owner[order])
+    common = np.intersect1d(np.unique(values[0]), np.unique(values[1]), assume_unique=True)
+    edges = [
+        (np.searchsorted(v, common, "left"), np.searchsorted(v, common, "right")) for v in values
+    ]
+    for a, b, c, d in zip(*edges[0], *edges[1]):
+        counts[np.ix_(holders[0][a:b], holders[1][c:d])] += 1
+    return counts
 
 
-def offered(
+def exact_links(
     left: list[Member],
     right: list[Member],
-    lane_radius: int,
-    radius: int,
-    lanes: int,
-    most: int,
-) -> tuple[list[tuple[int, int]], bool]:
-    """Unchecked pairs within both radii whose ends have different roots, and whether some were cut.
-
-    Every root offers its ``most`` nearest pairs. Rows of ``right`` count from the length of ``left``;
-    an empty ``right`` stands for pairs inside ``left``.
+    measures: tuple[int, int, int],
+    similarity: float,
+) -> list[tuple[bytes, bytes]]:
+    """Links that join the roots of all candidates that are similar enough, by their sets of hashes.
+
+    Candidates lie within both radii and have different roots; an empty ``right`` stands for pairs
+    inside ``left``.
     """
-    rows, first = left + right, len(left) if right else 0
+    lane_radius, radius, lanes = measures
+    other = right or left
+    wide = []
+    for side in (left, other):
+        prints = np.frombuffer(b"".join(r[0] for r in side), np.uint8).reshape(len(side), -1)
+        wide.append(np.ascontiguousarray(prints[:, : WORD // 8 * lanes]).view(np.uint64))
     names: dict[bytes, int] = {}
-    root = np.array([names.setdefault(r[1], len(names)) for r in rows])
-    wide = np.frombuffer(b"".join(r[0] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
-    wide = np.ascontiguousarray(wide[:, : WORD // 8 * lanes]).view(np.uint64)
-    one, two = slice(0, len(left)), slice(first, len(rows))
-    near = np.bitwise_count(wide[one, None, 0] ^ wide[None, two, 0]) <= lane_radius
-    i, j = np.nonzero(near & (root[one, None] != root[None, two]))
-    j = j + first
-    i, j = i[i < j], j[i < j]
-    distance = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64)
-    place = {r[0]: at for at, r in enumerate(rows)}
-    known = [
-        (min(at, place[other]) * len(rows) + max(at, place[other]))
-        for at, r in enumerate(rows)
-        for other in r[2] or ()
-        if other in place
-    ]
-    live = (distance <= radius) & ~np.isin(i * len(rows) + j, np.array(known, dtype=np.int64))
-    i, j, distance = i[live], j[live], distance[live]
-    order = np.argsort(distance, kind="stable")
-    i, j = i[order], j[order]
-    ends, edge = np.concatenate([root[i], root[j]]), np.tile(np.arange(len(i)), 2)
-    by = np.lexsort((edge, ends))
-    starts = np.flatnonzero(np.diff(ends[by], prepend=-1))
-    rank = np.arange(len(by)) - np.repeat(starts, np.diff(np.append(starts, len(by))))
-    chosen = np.unique(edge[by[rank < most]])
-    return list(zip(i[chosen].tolist(), j[chosen].tolist())), len(chosen) < len(i)
-
-
-def open_pairs(
+    root = [np.array([names.setdefault(r[1], len(names)) for r in side]) for side in (left, other)]
+    near = np.bitwise_count(wide[0][:, None, 0] ^ wide[1][None, :, 0]) <= lane_radius
+    i, j = np.nonzero(near & (root[0][:, None] != root[1][None, :]))
+    both = np.concatenate(wide)
+    live = distances(both, i, j + len(left)) <= radius
+    if not right:
+        live &= i < j
+    i, j = i[live], j[live]
+    if not len(i):
+        return []
+    sets = [[np.frombuffer(r[2], np.uint64) for r in side] for side in (left, other)]
+    sizes = [np.array(list(map(len, side))) for side in sets]
+    rows, columns = np.unique(i), np.unique(j)
+    counts = shared_counts([sets[0][k] for k in rows], [sets[1][k] for k in columns])
+    shared = counts[np.searchsorted(rows, i), np.searchsorted(columns, j)]
+    union = sizes[0][i] + sizes[1][j] - shared
+    passed = shared >= similarity * union
+    tree, links = list(range(len(names))), []
+    for a, b in zip(i[passed].tolist(), j[passed].tolist()):
+        x, y = int(root[0][a]), int(root[1][b])
+        while tree[x] != x:
+            tree[x] = x = tree[tree[x]]
+        while tree[y] != y:
+            tree[y] = y = tree[tree[y]]
+        if x != y:
+            tree[y] = x
+            links.append((left[a][0], other[b][0]))
+    return links
+
+
+def with_shingle_hashes(members: DataFrame, words: int) -> DataFrame:
+    """``fingerprint``, ``root``, ``label`` and the sorted ``hashes`` of the shingles of ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                hashes = [
+                    np.unique(shingle_hashes(text, words)).tobytes()
+                    for text in texts_of(part.column("text"))
+                ]
+                same = {name: part.column(name) for name in ("fingerprint", "root", "label")}
+                yield {**same, "hashes": hashes}
+
+    return map_batches(
+        members.select("fingerprint", "root", "label", "text"),
+        run,
+        "fingerprint binary, root binary, label binary, hashes binary",
+    )
+
+
+def open_links(
     members: DataFrame,
     sets: Sequence[Sequence[int]],
     measures: tuple[int, int, int],
-    most: int,
+    similarity: float,
     block_rows: int,
+    block_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """Candidates ``a``, ``b`` that join two roots and are not among the failed; ``more`` if some wait.
+    """Links ``a``, ``b`` that join all roots between which a candidate is similar enough.
 
-    ``measures`` are both radii and the number of lanes.
-    ``members`` have ``fingerprint``, ``root``, ``label`` (only rows of one label meet) and ``failed``.
+    ``members`` are those of :func:`with_shingle_hashes`; only rows of one label meet. Blocks are
+    bounded in rows and in bytes of hashes.
     """
+    narrow = members.select("fingerprint", "label", F.octet_length("hashes").cast("long").alias("size"))
     buckets = (
-        bucketed(members.select("fingerprint"), sets)
-        .join(members, "fingerprint")
-        .select(
-            "fingerprint",
-            F.concat("bucket", "label").alias("bucket"),
-            F.struct("fingerprint", "root", "failed").alias("member"),
-        )
+        bucketed(narrow.select("fingerprint"), sets)
+        .join(narrow, "fingerprint")
+        .select("fingerprint", F.concat("bucket", "label").alias("bucket"), "size")
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / block_rows, F.col("total") / block_bytes))
+    places = block_places(buckets, blocks).join(
+        members.select("fingerprint", F.struct("fingerprint", "root", "hashes").alias("member")),
+        "fingerprint",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for left, right in zip(*(c.to_pylist() for c in batch.columns)):
-                if not left or right == []:
-                    continue
-                left, right = ([tuple(r.values()) for r in part or []] for part in (left, right))
-                links, cut = offered(left, right, *measures, most)
-                everything = left + right
-                yield {
-                    "a": [everything[x][0] for x, _ in links],
-                    "b": [everything[y][0] for _, y in links],
-                    "more": [cut] * len(links),
-                }
-
-    blocks = bucket_blocks(buckets, block_rows, "member")
-    found = map_batches(blocks, run, "a binary, b binary, more boolean")
-    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
-        F.max("more").alias("more")
-    )
+        for left, right in each_block(batches):
+            left, right = ([tuple(r.values()) for r in part] for part in (left, right))
+            links = exact_links(left, right, measures, similarity)
+            yield {"a": [a for a, _ in links], "b": [b for _, b in links]}
+
+    found = map_batches(gathered(places, "member"), run, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard(left: str, right: str, words: int) -> float:
@@ -632,9 +710,11 @@ def verified(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            texts = zip(texts_of(batch.column("text_a")), texts_of(batch.column("text_b")))
-            passed = [jaccard(x, y, words) >= similarity for x, y in texts]
-            yield {"a": batch.column("a"), "b": batch.column("b"), "passed": passed}
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                texts = zip(texts_of(part.column("text_a")), texts_of(part.column("text_b")))
+                passed = [jaccard(x, y, words) >= similarity for x, y in texts]
+                yield {"a": part.column("a"), "b": part.column("b"), "passed": passed}
 
     return map_batches(pairs, run, "a binary, b binary, passed boolean")
 
@@ -644,10 +724,11 @@ def similar_groups(
 ) -> DataFrame:
     """``node``, ``root`` of the rows of ``stored(fingerprint, text)`` that are linked with another.
 
-    A first round checks a shortest spanning forest of each bucket. A link of it that fails may part
-    rows that other candidates join, so in further rounds the groups around failed links offer the
-    candidates between different components that are not checked yet: the nearest of each component,
-    eight times as many in each round, until no unchecked candidate joins two components.
+    First a shortest spanning forest of each bucket is checked on the texts. A link of it that fails
+    may part rows that other candidates join. So in the groups around failed links all candidates
+    between different components are compared by their sets of shingle hashes, where they meet, and
+    links that join the components are checked on the texts. After that no candidate that is similar
+    enough lies between two components.
     """
     sets = sketch.sets(stored.count())
     measures = sketch.radius(WORD), sketch.radius(WORD * sketch.lanes), sketch.lanes
@@ -662,45 +743,42 @@ def similar_groups(
     blocks = bucket_blocks(bucketed(stored.select("fingerprint"), sets), block_rows)
     found = compare_blocks(blocks, lambda parts: nearest_links(parts, *measures))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known, most = checked(written(pairs)), 8
-    while True:
-        roots = components(known.where("passed"))
-        ends = [
-            roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-            for end in ("a", "b")
-        ]
-        apart = written(
-            known.where(~F.col("passed"))
-            .join(ends[0], "a", "left")
-            .join(ends[1], "b", "left")
-            .withColumns({f"root_{end}": F.coalesce(f"root_{end}", end) for end in ("a", "b")})
-            .where("root_a <> root_b")
-        )
-        if apart.isEmpty():
-            return roots
-        # components that failed links would join: every candidate still open lies inside one label
-        labels = components(apart.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        failed = apart.groupBy(F.col("a").alias("fingerprint")).agg(F.collect_list("b").alias("failed"))
-        members = written(
-            stored.select("fingerprint")
-            .join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-            .withColumn("root", F.coalesce("root", "fingerprint"))
-            .join(labels.select(F.col("node").alias("root"), F.col("root").alias("label")), "root")
-            .join(failed, "fingerprint", "left")
-        )
-        offers = written(open_pairs(members, sets, measures, most, min(block_rows, 1024)))
-        if offers.isEmpty():
-            return roots
-        known, most = known.unionByName(checked(offers)), 8 * most
-        if offers.where("more").isEmpty():
-            return components(known.where("passed"))
+    known = checked(written(pairs))
+    roots = components(known.where("passed"))
+    ends = [
+        roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        for end in ("a", "b")
+    ]
+    apart = written(
+        known.where(~F.col("passed"))
+        .join(ends[0], "a", "left")
+        .join(ends[1], "b", "left")
+        .select(*(F.coalesce(f"root_{end}", end).alias(end) for end in ("a", "b")))
+        .where("a <> b")
+        .distinct()
+    )
+    if apart.isEmpty():
+        return roots
+    # components that failed links would join: every candidate still open lies inside one label
+    labels = components(apart)
+    members = (
+        stored.select("fingerprint", "text")
+        .join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+        .withColumn("root", F.coalesce("root", "fingerprint"))
+        .join(labels.select(F.col("node").alias("root"), F.col("root").alias("label")), "root")
+    )
+    hashed = written(with_shingle_hashes(members, words))
+    links = written(open_links(hashed, sets, measures, sketch.similarity, min(block_rows, 512)))
+    if links.isEmpty():
+        return roots
+    return components(known.unionByName(checked(links)).where("passed"))
 
 
 def one_of_each(
     docs: DataFrame,
     words: int = 5,
     sketch: Sketch = Sketch(),
-    block_rows: int = 2048,
+    block_rows: int = 1024,
     buckets: int | None = None,
     doc_id: str = "doc_id",
     text: str = "text",

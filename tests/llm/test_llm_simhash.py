@@ -189,15 +189,99 @@ def test_pairs_behind_a_failed_link_are_checked_too(spark):
     assert {r.doc_id for r in out.collect()} == {union.find(i) for i in range(len(rows))}
 
 
-def test_offers_leave_out_checked_pairs_and_pairs_of_one_root():
-    prints = [bytes([0] * 31 + [k]) for k in (0, 1, 3, 7)]
-    rows = [(prints[0], b"x", [prints[1]]), (prints[1], b"y", None), (prints[2], b"y", None)]
-    assert simhash.offered(rows, [], 2, 2, 4, 9) == ([(0, 2)], False)
-    far = [(prints[3], b"z", None)]
-    links, cut = simhash.offered(rows, far, 9, 9, 4, 9)
-    assert (sorted(links), cut) == ([(0, 3), (1, 3), (2, 3)], False)
-    links, cut = simhash.offered(rows, far, 9, 9, 4, 1)
-    assert (2, 3) in links and cut
+def test_exact_links_join_all_roots_with_a_similar_candidate():
+    """Against all pairs: inside a block and across two, with roots that several pairs join."""
+    rng = random.Random(6)
+    measures, families = (30, 100, 4), []
+    for seed in range(5):
+        families += edited_copies(seed, count=30, words=120, edits=5)
+    rng.shuffle(families)
+    members = []
+    for at, text in enumerate(families):
+        hashes = np.unique(simhash.shingle_hashes(text, 5)).tobytes()
+        members.append((simhash.set_fingerprint(text, 5, 4), bytes([at % 40]), hashes))
+    texts = {m[0]: t for m, t in zip(members, families)}
+    for left, right in ((members, []), (members[:70], members[70:])):
+        union = Union()
+        for a in left:
+            for b in right or left:
+                close = simhash.jaccard(texts[a[0]], texts[b[0]], 5) >= 0.8
+                apart = np.unpackbits(np.frombuffer(a[0], np.uint8) ^ np.frombuffer(b[0], np.uint8))
+                if close and a[1] != b[1] and apart[:64].sum() <= 30 and apart[:256].sum() <= 100:
+                    union.join(a[1], b[1])
+        links = simhash.exact_links(left, right, measures, 0.8)
+        got, root = Union(), {m[0]: m[1] for m in members}
+        for a, b in links:
+            assert simhash.jaccard(texts[a], texts[b], 5) >= 0.8 and root[a] != root[b]
+            got.join(root[a], root[b])
+        assert len(links) < 40
+        assert {k: got.find(k) for k in set(got) | set(union)} == {k: union.find(k) for k in set(got) | set(union)}
+
+
+def test_places_are_bounded_in_rows_and_bytes(spark):
+    frame = spark.range(300).select(
+        F.unhex(F.lpad(F.hex("id"), 16, "0")).alias("fingerprint"),
+        F.lit(b"k").alias("bucket"),
+        F.lit(10).alias("size"),
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / 200, F.col("total") / 600))
+    places = simhash.block_places(frame, blocks).groupBy("i", "j").count().collect()
+    assert len(places) == 15 and sum(r["count"] for r in places) == 300 * 5
+
+
+def planted_pairs(count, low=0.80, high=0.85):
+    """Pairs of texts whose shingle sets have a similarity in that range."""
+    rng, pairs = random.Random(11), []
+    while len(pairs) < count:
+        words = edge.prose(rng.random(), rng.randint(50, 600), 3000).split()
+        other = list(words)
+        for _ in range(rng.randint(1, 1 + len(words) // 30)):
+            at = rng.randrange(len(other))
+            if rng.random() < 0.5:
+                other[at] = f"x{rng.randrange(99)}"
+            else:  # a passage goes, or is put in
+                other[at : at + rng.choice([0, 1, 3])] = [f"y{rng.randrange(99)}"] * rng.choice([0, 1, 2])
+        one, two = " ".join(words), " ".join(other)
+        if low <= simhash.jaccard(one, two, 5) < high:
+            pairs.append((one, two))
+    return pairs
+
+
+@pytest.mark.parametrize("rows", [1000, 200_000, 10**9])
+def test_recall_of_candidates(rows):
+    """Share of 1,500 pairs at 0.80 to 0.85 that meet in a bucket and pass both radii."""
+    sketch = simhash.Sketch()
+    sets = [np.array(chosen) for chosen in sketch.sets(rows)]
+    found = 0
+    pairs = planted_pairs(1500)
+    for pair in pairs:
+        bits = [
+            np.unpackbits(np.frombuffer(simhash.set_fingerprint(t, 5, 4), np.uint8)[:32]) for t in pair
+        ]
+        apart = bits[0] != bits[1]
+        meet = any(not apart[chosen].any() for chosen in sets)
+        found += meet and apart[:64].sum() <= sketch.radius(64) and apart.sum() <= sketch.radius(256)
+    print(f"{rows} rows: {len(sets)} sets of {len(sets[0])} bits, recall {found / len(pairs):.4f}")
+    assert found / len(pairs) >= 0.97
+
+
+def test_a_hot_bucket_in_bounded_memory():
+    """Blocks of near copies: what they hold at once does not follow the pairs that pass."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, 48, dtype=np.uint8)
+    rows = np.repeat(base[None], 2048, axis=0)
+    flips = rng.integers(0, 256, (2048, 6))
+    for k in range(6):
+        rows[np.arange(2048), flips[:, k] // 8] ^= (128 >> (flips[:, k] % 8)).astype(np.uint8)
+    blocks = [(rows[:1024], rows[1024:])]
+    tracemalloc.start()
+    links = list(simhash.nearest_links(blocks, 20, 59, 4))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(links[0]) == 2047
+    assert peak < 160e6
 
 
 def test_repeats_count_once_and_equal_bits_are_no_proof(spark):
