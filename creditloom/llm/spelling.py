@@ -349,7 +349,7 @@ class Best:
         return {"word": list(self.found), "met": list(met), "near_n": list(n), "near": list(near)}
 
 
-def near_words(words: DataFrame, limit: int = 100_000, min_chars: int = 5) -> DataFrame:
+def near_words(words: DataFrame, limit: int = 20_000, min_chars: int = 5) -> DataFrame:
     """``word``, ``n_near``, ``near``, ``near_n`` for words (``word``, ``n``) that have near words.
 
     ``near`` is the near word with the largest count, the least of them in code-point order.
@@ -424,7 +424,7 @@ def roots_of(forms: DataFrame) -> DataFrame:
 
 
 def spelling_variants(
-    words: DataFrame, ratio: int = 2, limit: int = 100_000, min_chars: int = 5
+    words: DataFrame, ratio: int = 2, limit: int = 20_000, min_chars: int = 5
 ) -> DataFrame:
     """``word``, ``form``, ``root``, ``n``, ``n_near``, ``form_n`` for all words (``word``, ``n``)."""
     words = written(words.select("word", "n"))
