@@ -9,23 +9,25 @@ from creditloom.operators.relational import group_table
 from creditloom.session import written
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, most_links: int | None = None) -> DataFrame:
     """``node``, ``root`` for every node of ``links(a, b)``; the root is the smallest node reachable.
 
     Each round hangs the larger neighbours of every node on its smallest neighbour, then the node and
     its smaller neighbours on the smallest of those; both keep components and shorten paths, and
     when nothing changes the links form stars. Rounds grow with the logarithm of path lengths. A
     round's links are written to the shared folder, so a lost executor costs one round at most.
-    Null ends and loops are ignored; nodes without links do not appear.
+    Null ends and loops are ignored; nodes without links do not appear. No round has more links than
+    the one before, so few links stay in few files; ``most_links`` bounds those of the first, if known.
     """
     edges = written(
         links.where("a <> b")
         .select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
-        .distinct()
+        .distinct(),
+        most_links,
     )
     state = _state(edges)
     while state is not None and state[0]:
-        edges = written(_small_star(_large_star(edges)))
+        edges = written(_small_star(_large_star(edges)), state[0])
         known, state = state, _state(edges)
         if known == state:
             break

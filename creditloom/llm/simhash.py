@@ -744,7 +744,8 @@ def similar_groups(
     found = compare_blocks(blocks, lambda parts: nearest_links(parts, *measures))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = checked(written(pairs))
-    roots = components(known.where("passed"))
+    candidates = known.count()
+    roots = components(known.where("passed"), candidates)
     ends = [
         roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
         for end in ("a", "b")
@@ -755,12 +756,13 @@ def similar_groups(
         .join(ends[1], "b", "left")
         .select(*(F.coalesce(f"root_{end}", end).alias(end) for end in ("a", "b")))
         .where("a <> b")
-        .distinct()
+        .distinct(),
+        candidates,
     )
     if apart.isEmpty():
         return roots
     # components that failed links would join: every candidate still open lies inside one label
-    labels = components(apart)
+    labels = components(apart, candidates)
     members = (
         stored.select("fingerprint", "text")
         .join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
@@ -769,9 +771,10 @@ def similar_groups(
     )
     hashed = written(with_shingle_hashes(members, words))
     links = written(open_links(hashed, sets, measures, sketch.similarity, min(block_rows, 512)))
-    if links.isEmpty():
+    found = links.count()
+    if not found:
         return roots
-    return components(known.unionByName(checked(links)).where("passed"))
+    return components(known.unionByName(checked(links)).where("passed"), candidates + found)
 
 
 def one_of_each(

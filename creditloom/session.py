@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -13,6 +14,9 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
+#: Rows for each file of narrow intermediate tables whose number of rows is bounded beforehand.
+FILE_ROWS = 100_000
+
 #: Scratch folders of sessions in local mode that name none, by application.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -104,11 +108,15 @@ def release_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, most_rows: int | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet table in the scratch folder and return that table.
 
     For intermediate tables of the size of an input that several passes read, each a few columns.
+    ``most_rows`` is for narrow rows fresh from a ``distinct`` of which there are no more than that:
+    they are stored by one task for each ``FILE_ROWS`` of it, not by every partition of the shuffle.
     """
     folder = scratch_folder(df.sparkSession) + "/table"
+    if most_rows is not None:
+        df = df.coalesce(max(1, math.ceil(most_rows / FILE_ROWS)))
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -146,6 +146,25 @@ def test_components(spark, shape):
     assert got == {n: union.find(n) for n in list(union)}
 
 
+def test_few_links_stay_in_few_files(spark, monkeypatch):
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in held}
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        few = components(links)
+        assert len(few.inputFiles()) == 1
+        monkeypatch.setattr("creditloom.session.FILE_ROWS", 20)
+        more = components(links, 60)
+        assert len(more.inputFiles()) == 3
+        for found in (few, more):
+            assert {(r.node, r.root) for r in found.collect()} == {(i, 0) for i in range(61)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_empty(spark):
     docs = edge.documents(spark, [])
     assert simhash.near_duplicates(docs).count() == 0
